@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, chat, exact_dedup
+from lectern.llm import bpe, chat, exact_dedup, ngram_join
 from lectern.llm.tokens import default_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,8 @@ SELECT doc_id, keep_id, group_size, k = 1 AS kept, sha AS text_sha256 FROM w""",
 )
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_jaccard_join")
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
