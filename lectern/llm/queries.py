@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, chat, exact_dedup, ngram_join
+from lectern.llm import bpe, chat, exact_dedup, ngram_join, packing, token_files
 from lectern.llm.tokens import default_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_ngram_jaccard_join")
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
+@query("op6_best_fit_packing")
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), default_path(), capacity=2048, end_id=0)
+
+
+@query("op7_token_files")
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_shards(token_files.write_shards(table(spark, sf_dir, "documents"), default_path(), end_id=1))
