@@ -1,12 +1,17 @@
 """N-gram Jaccard join by prefix trees.
 
-A document is the set of its n-word shingles, as 62-bit numbers in one global order: shingles that a
-large share of all documents hold come last.  Two sets that are similar enough share one of the
-first elements of that order (the prefix), so only sets that are connected by shared prefix elements
-are ever brought together.  Such a block is joined in a trie of its whole sets: sets that begin
-alike share a path, the overlap with a query is counted once for all sets below a node, and a
-subtree is left as soon as the elements that remain cannot bring the overlap to the least that its
-sets need, or all its sets are known to be linked with the query already.
+A document is the set of its n-word shingles, as 62-bit numbers in one global order.  Two sets that
+are similar enough share one of the first elements of that order (the prefix), so only sets that are
+connected by shared prefix elements, and near enough in size, are ever brought together.  The order puts rare shingles first:
+those below SAMPLE of the range of hashes by the number of documents that hold them, then other
+ones, then those that a large share of all documents hold.  A set that holds more shingles of its
+own among the sampled ones than a similar set may lack has no partner and goes no further.
+
+Sizes are cut into bands, so wide that similar sets are in the same band or in neighbouring ones; a
+cell holds two neighbouring bands.  A block, the sets of one cell that are connected, is joined in a trie of the whole sets: sets that begin alike share a path,
+the overlap with a query is counted once for all sets below a node, and a subtree is left as soon as
+the elements that remain cannot bring the overlap to the least that its sets need, or all its sets
+are known to be linked with the query already.
 
 Blocks of more than BLOCK sets are reduced first: every set is compared with one leading set of its
 block, by a join, and only those not linked with it are compared, in square cells of bounded size,
@@ -16,12 +21,14 @@ membership alone.  Linked sets become classes by distributed connected component
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,6 +36,8 @@ from lectern.llm.common import components, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
+#: Share of all hashes whose shingles are counted over all documents to order them by rarity.
+SAMPLE = 0.2
 #: Shingles whose common ones are counted together in a task.
 COUNTED = 1 << 22
 #: Sets of a block, and of one side of a cell.
@@ -37,6 +46,9 @@ BLOCK, CELL = 2000, 500
 WORDS = 400_000
 
 _LOW = np.uint64((1 << 62) - 1)
+#: Bits of a set's size, at most, where sizes are packed.
+_BITS = 26
+_COMMON_BIT = np.int64(1 << 62)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x94D049BB133111EB, 0xBF58476D1CE4E5B9], dtype=np.uint64)
 
 
@@ -47,42 +59,53 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Words(dict):
+    """Hashes of words, made as they are met."""
+
+    def __init__(self, seed: int) -> None:
+        self.seed = seed
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = xxhash.xxh3_64_intdigest(word, self.seed)
+        return h
+
+
 class Shingler:
     """Whole texts to sorted arrays of distinct shingles."""
 
     def __init__(self, n: int, seed: int, common: np.ndarray | None = None) -> None:
-        self.n, self.seed, self.common, self.table = n, seed, common, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        """The set of ``text``: words are runs of characters other than space and \\t to \\r, A-Z in lower case."""
-        words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-        if not words:
-            return np.empty(0, np.int64)
-        table = self.table
-        try:
-            h = np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(table) > WORDS:
-                table.clear()
-            for w in words:
-                if w not in table:
-                    table[w] = xxhash.xxh3_64_intdigest(w, self.seed)
-            h = np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
-        n = self.n
-        if len(h) < n:  # all words as one shingle, told apart from longer ones by its seed
-            x = _mix(np.array([xxhash.xxh3_64_intdigest(b" ".join(words), self.seed + 1)], np.uint64))
-        else:
-            x = h[: len(h) - n + 1] * _ODD[0]
-            for k in range(1, n):
-                x = _mix(x + h[k : len(h) - n + 1 + k] * _ODD[k % len(_ODD)])
-            x = np.unique(_mix(x) & _LOW)
-        x = (x & _LOW).astype(np.int64)
-        if self.common is not None and len(self.common):
-            at = np.minimum(np.searchsorted(self.common, x), len(self.common) - 1)
-            found = self.common[at] == x
-            if found.any():
-                x = np.sort(x + (found.astype(np.int64) << 62))
-        return x
+        self.n, self.seed, self.common, self.table = n, seed, common, _Words(seed)
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The sets of these texts: words are runs of characters other than space and \\t to \\r, A-Z in lower case."""
+        n, table = self.n, self.table
+        if len(table) > WORDS:
+            table.clear()
+        split = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in texts]
+        ends = np.cumsum([0, *map(len, split)])
+        h = np.fromiter(map(table.__getitem__, chain.from_iterable(split)), np.uint64, int(ends[-1]))
+        m = max(0, len(h) - n + 1)
+        x = h[:m] * _ODD[0]  # of all places at once; those across two texts are never taken
+        for k in range(1, n):
+            x = _mix(x + h[k : m + k] * _ODD[k % len(_ODD)])
+        x = (_mix(x) & _LOW).astype(np.int64)
+        out = []
+        for words, a, b in zip(split, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            if b - a >= n:
+                own = np.sort(x[a : b - n + 1])
+                own = own[np.concatenate([[True], own[1:] != own[:-1]])]
+            elif words:  # all words as one shingle, told apart from longer ones by its seed
+                own = np.array([xxhash.xxh3_64_intdigest(b" ".join(words), self.seed + 1) & int(_LOW)], np.int64)
+            else:
+                own = x[:0]
+            out.append(own)
+        return [self._ordered(own) for own in out] if self.common is not None and len(self.common) else out
+
+    def _ordered(self, x: np.ndarray) -> np.ndarray:
+        """Common shingles get a leading bit and so come last."""
+        at = np.minimum(np.searchsorted(self.common, x), len(self.common) - 1)
+        found = self.common[at] == x
+        return np.concatenate([x[~found], x[found] | _COMMON_BIT]) if found.any() else x
 
 
 def _identity(x: np.ndarray) -> tuple[int, int]:
@@ -112,7 +135,7 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
             return pa.RecordBatch.from_arrays([pa.nulls(len(values), arrow.field(0).type), none, none, pa.array(times, pa.int64()), pa.array(values, pa.int64())], schema=arrow)
 
         for part in slices(batches):
-            sets = [shingler(t) for t in part.column(1).to_pylist()]
+            sets = shingler(part.column(1).to_pylist())
             names = [_identity(x) for x in sets]
             sizes = [len(x) for x in sets]
             yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sets), pa.int64())], schema=arrow)
@@ -133,37 +156,79 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
     return rows, np.sort(common)
 
 
-def _prefixes(docs: DataFrame, shingler, percent: int) -> DataFrame:
-    """(sid, prefix): of every row's set the least elements among which a similar set must have one too."""
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
+
+
+def bands(percent: int) -> list[int]:
+    """Where each band of sizes starts: a set similar to one of band b is in band b - 1, b or b + 1."""
+    starts = [1]
+    while starts[-1] < 1 << _BITS:
+        starts.append(100 * starts[-1] // percent + 1)
+    return starts
+
+
+def _heads(docs: DataFrame, shingler, percent: int) -> DataFrame:
+    """(sid, facts, rare, common) of every row's set.
+
+    ``rare`` holds its sampled elements, or as many as the prefix needs; ``common`` the common ones
+    that the prefix takes when there are too few others.  ``facts`` packs the band of its size, the
+    number of sampled elements and the length of the prefix.
+    """
+    border = np.int64(SAMPLE * 2.0**62)
+    starts = bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shingler()
         for part in slices(batches):
-            sets = [x for t in part.column(0).to_pylist() if len(x := s(t))]
+            sets = [x for x in s(part.column(0).to_pylist()) if len(x)]
             names = [_identity(np.sort(x & np.int64(_LOW)))[0] for x in sets]
-            heads = [x[: len(x) - -(-percent * len(x) // 100) + 1] for x in sets]
-            ends = np.cumsum([0, *map(len, heads)]).astype(np.int32)
-            flat = np.concatenate(heads) if heads else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "prefix"])
+            facts, rare, common = [], [], []
+            for x in sets:
+                prefix = len(x) - -(-percent * len(x) // 100) + 1
+                sampled, ordinary = np.searchsorted(x, [border, _COMMON_BIT]).tolist()
+                facts.append((bisect_right(starts, len(x)) - 1) << 2 * _BITS | sampled << _BITS | prefix)
+                rare.append(x[: max(sampled, min(prefix, ordinary))])
+                common.append(x[ordinary : max(prefix, ordinary)])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(facts, pa.int64()), _lists(rare), _lists(common)], names=["sid", "facts", "rare", "common"])
 
-    return docs.select("text").mapInArrow(run, "sid bigint, prefix array<bigint>")
+    return docs.select("text").mapInArrow(run, "sid bigint, facts bigint, rare array<bigint>, common array<bigint>")
+
+
+def _prefixes(heads: DataFrame) -> DataFrame:
+    """(sid, band, element): the elements of each set's prefix that another set may share.
+
+    The number of documents that hold an element is counted where its rows meet; that never is a
+    large share of all rows, since common elements take no part in it.
+    """
+    border = int(SAMPLE * 2.0**62)
+    held = Window.partitionBy("element")
+    each = heads.select("sid", "facts", F.explode("rare").alias("element"))
+    each = each.select("sid", "facts", "element", F.count("*").over(held).alias("df"), F.min("sid").over(held).alias("a"), F.max("sid").over(held).alias("b")).where("a != b")
+    rows = each.select("sid", "facts", "df", "element").union(heads.select("sid", "facts", F.lit(1 << 62).alias("df"), F.explode("common").alias("element")))
+    sets = rows.groupBy("sid", "facts").agg(F.sort_array(F.collect_set(F.struct("df", "element"))).alias("shared"))
+    ones = F.lit((1 << _BITS) - 1)
+    sampled, prefix = F.shiftright("facts", _BITS).bitwiseAND(ones), F.col("facts").bitwiseAND(ones)
+    alone = sampled - F.size(F.filter("shared", lambda e: e["element"] < border))
+    left = F.when(sampled >= prefix, prefix - alone).otherwise(F.size("shared"))
+    first = F.slice("shared", F.lit(1), F.col("left"))
+    kept = sets.select("sid", F.shiftright("facts", 2 * _BITS).cast("int").alias("band"), left.cast("int").alias("left"), "shared").where("left > 0")
+    return kept.select("sid", "band", F.explode(first).alias("e")).select("sid", "band", "e.element")
 
 
 def _sets(texts: DataFrame, shingler) -> DataFrame:
-    """(sid, block, members, lead, elements) of ``texts`` (sid, block, members, lead, text); rows whose text is not that of the set go."""
+    """(sid, blocks, elements) of ``texts`` (sid, blocks, text); rows whose text is not that of the set go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = shingler()
         for part in slices(batches):
-            sets = [s(t) for t in part.column(4).to_pylist()]
+            sets = s(part.column(2).to_pylist())
             own = [_identity(np.sort(x & np.int64(_LOW)))[0] == sid for x, sid in zip(sets, part.column(0).to_pylist(), strict=True)]
-            sets = [x for x, o in zip(sets, own, strict=True) if o]
             part = part.filter(pa.array(own, pa.bool_()))
-            ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            flat = np.concatenate(sets) if sets else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["sid", "block", "members", "lead", "elements"])
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], _lists([x for x, o in zip(sets, own, strict=True) if o])], names=["sid", "blocks", "elements"])
 
-    return texts.select("sid", "block", "members", "lead", "text").mapInArrow(run, "sid bigint, block bigint, members bigint, lead bigint, elements array<bigint>")
+    return texts.select("sid", "blocks", "text").mapInArrow(run, f"sid bigint, blocks {texts.schema['blocks'].dataType.simpleString()}, elements array<bigint>")
 
 
 class _Node:
@@ -175,11 +240,20 @@ class _Node:
 
 
 class Trie:
-    """A radix trie of sorted sets that finds, and links, the sets similar to a new one."""
+    """A radix trie of sorted sets that finds, and links, the sets similar to a new one.
+
+    ``doors`` names, for each element, the subtrees of the root with a set that has it in its
+    prefix; a similar set shares an element of its own prefix with it, so no other needs a visit.
+    """
 
     def __init__(self, percent: int) -> None:
-        self.percent, self.root, self.parent = percent, None, {}
+        self.percent, self.root, self.parent = percent, _Node(np.empty(0, np.int64), 1 << 62), {}
+        self.root.most = 0
         self.links: list[tuple[int, int]] = []
+        self.doors: dict[int, set[int]] = {}
+
+    def prefix(self, x: np.ndarray) -> list[int]:
+        return x[: len(x) - -(-self.percent * len(x) // 100) + 1].tolist()
 
     def find(self, x: int) -> int:
         up = self.parent.setdefault(x, x)
@@ -202,8 +276,6 @@ class Trie:
     def add(self, key: int, x: np.ndarray) -> None:
         """Links ``key`` with every class that holds a similar set, then stores it."""
         self.find(key)
-        if self.root is None:
-            self.root = _Node(x[:0], len(x))
         self._search(key, x)
         self._insert(key, x)
 
@@ -212,7 +284,8 @@ class Trie:
         # Overlap that a set of size m needs: 100 i >= percent (n + m - i).
         need = lambda m: -(-percent * (n + m) // (100 + percent))
         low, high = -(-percent * n // 100), 100 * n // percent
-        todo = [(k, 0, 0, 0) for k in self.root.kids.values()]
+        doors = set().union(*[self.doors[e] for e in self.prefix(x) if e in self.doors])
+        todo = [(self.root.kids[k], 0, 0, 0) for k in doors]
         while todo:
             node, overlap, depth, at = todo.pop()
             if node.most < low or node.least > high or self._known(node, self.find(key)):
@@ -235,6 +308,8 @@ class Trie:
 
     def _insert(self, key: int, x: np.ndarray) -> None:
         node, at, n = self.root, 0, len(x)
+        for e in self.prefix(x):
+            self.doors.setdefault(e, set()).add(int(x[0]))
         while True:
             node.least, node.most = min(node.least, n), max(node.most, n)
             if node is not self.root and node.one is not None and self.find(node.one) != self.find(key):
@@ -263,21 +338,33 @@ class Trie:
 
 
 def join_sets(keys: list[int], sets: list[np.ndarray], percent: int, linked: list[bool] | None = None) -> list[tuple[int, int]]:
-    """Pairs that span the classes of the similar ones among ``sets``; those ``linked`` are one class from the start."""
+    """Pairs that span the classes of the similar ones among ``sets``; those ``linked`` are one class from the start.
+
+    The elements are put into an order of their own: the fewer of these sets hold one, the earlier
+    it comes.  A set with more elements that no other holds than a similar set may lack is left out.
+    """
+    if len(keys) < 2:
+        return []
+    _, place, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(held), np.int64)
+    rank[np.argsort(held, kind="stable")] = np.arange(len(held))
+    alone = int((held == 1).sum())
+    place = rank[place]
+    ends = np.cumsum([0, *map(len, sets)]).tolist()
     trie, lead = Trie(percent), None
-    for k, key in enumerate(keys):
-        if linked and linked[k]:
-            lead = key if lead is None else lead
-            trie.join(key, lead)
     order = sorted(range(len(keys)), key=lambda k: not (linked and linked[k]))
     for k in order:
+        x = np.sort(place[ends[k] : ends[k + 1]])
         if linked and linked[k]:  # these need no search among themselves
+            lead = keys[k] if lead is None else lead
+            trie.join(keys[k], lead)
+        if int(np.searchsorted(x, alone)) > len(x) - -(-percent * len(x) // 100):
+            continue
+        if linked and linked[k]:
             trie.find(keys[k])
-            if trie.root is None:
-                trie.root = _Node(sets[k][:0], len(sets[k]))
-            trie._insert(keys[k], sets[k])
+            trie._insert(keys[k], x)
         else:
-            trie.add(keys[k], sets[k])
+            trie.add(keys[k], x)
     return trie.links
 
 
@@ -362,18 +449,20 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(common)  # bounded by COMMON
     shingler = lambda: Shingler(n, seed, held.value)
 
-    prefixes = written(_prefixes(docs, shingler, percent), "prefixes")
-    each = prefixes.select("sid", F.explode("prefix").alias("element"))
-    shared = each.groupBy("element").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("held")).where("first != last")
-    stars = each.join(shared, "element").groupBy("sid", "first").agg(F.sum("held").alias("weight"))
-    stars = written(stars, "stars")
-    blocks = components(stars.select(F.col("sid").alias("u"), F.col("first").alias("v")))
-    weight = stars.groupBy("sid").agg(F.sum("weight").alias("weight"))
-    members = written(blocks.join(weight, F.col("node") == F.col("sid")).select("sid", F.col("label").alias("block"), "weight"), "members")
+    each = written(_prefixes(written(_heads(docs, shingler, percent), "heads")), "prefixes")
+    each = each.select("sid", "element", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
+    shared = each.groupBy("element", "cell").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("held")).where("first != last")
+    stars = written(each.join(shared, ["element", "cell"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
+    node = lambda c: F.xxhash64(c, "cell")  # noqa: E731  should two nodes get one number, their blocks are one
+    blocks = components(stars.select(node("sid").alias("u"), node("first").alias("v")))
+    weight = stars.groupBy("sid", "cell").agg(F.sum("weight").alias("weight")).withColumn("node", node("sid"))
+    members = written(blocks.join(weight, "node").select("sid", F.col("label").alias("block"), "weight"), "members")
     counts = members.groupBy("block").agg(F.count("*").alias("members"), F.max_by("sid", F.struct("weight", "sid")).alias("lead"))
 
-    wanted = members.join(counts, "block").join(sets, "sid").select("sid", "block", "members", "lead", F.col("least").alias("doc_id"))
+    of_set = members.join(counts, "block").groupBy("sid").agg(F.collect_list(F.struct("block", "members", "lead")).alias("blocks"))  # two at most
+    wanted = of_set.join(sets, "sid").select("sid", "blocks", F.col("least").alias("doc_id"))
     found = written(_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingler), "elements")
+    found = found.select("sid", F.explode("blocks").alias("b"), "elements").select("sid", "b.*", "elements")
     links = written(_block_links(found, percent), "links")
 
     labels = components(links)
