@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import bpe, chat, exact_dedup, langid, ngram_join, packing, sentence_spans, token_files
+from lectern.llm import bpe, chat, exact_dedup, langid, licenses, ngram_join, packing, quality, sentence_spans, token_files
 from lectern.llm.tokens import default_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,7 +115,8 @@ s AS (
 ]+') AS x FROM d)
 ), w AS (
   SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS pos,
-         regexp_replace(trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[ 	-]+', ' ', 'g') AS txt
+         regexp_replace(trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[ 	-
+]+', ' ', 'g') AS txt
   FROM s WHERE trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''
 ), r AS (
   SELECT doc_id, pos, txt || chr(31) || lead(txt, 1) OVER o || chr(31) || lead(txt, 2) OVER o AS span FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
@@ -136,3 +137,13 @@ LEFT JOIN (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id) b USING (doc_i
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = sentence_spans.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), run=3)
     return cut.select("doc_id", "text", "n_sentences", "n_removed")
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.best_license(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@query("op5_quality_rules", quality.ORACLE_SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
