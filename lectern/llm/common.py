@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that are Python objects at once.
 SLICE_ROWS = 256
+#: Rows of an Arrow batch that the JVM sends to a worker.
+BATCH_ROWS = 1024
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +48,14 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
+def in_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with batches of BATCH_ROWS rows at most: documents can be long, and workers small."""
+    conf = df.sparkSession.conf
+    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) not in range(1, BATCH_ROWS + 1):
+        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df.mapInArrow(run, schema)
+
+
 def map_rows(df: DataFrame, rows: Callable[..., tuple], schema: str, setup: Callable[[], object] | None = None) -> DataFrame:
     """Applies ``rows(state, *columns) -> columns`` to small batches of ``df`` by Arrow.
 
@@ -63,7 +73,7 @@ def map_rows(df: DataFrame, rows: Callable[..., tuple], schema: str, setup: Call
             arrays = [pa.array(x, type=f.type) for x, f in zip(out, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
-    return df.mapInArrow(run, types)
+    return in_arrow(df, run, types)
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import map_rows, slices
+from lectern.llm.common import in_arrow, map_rows, slices
 
 #: Lengths of the n-grams, in letters; words are set off by a blank on either side.
 LENGTHS = (2, 3, 4)
@@ -142,7 +142,7 @@ def fit(labelled: DataFrame) -> LanguageFilters:
         for lang in list(seen):
             yield flush(lang)
 
-    counted = sample.select("text", "lang").mapInArrow(count, "lang string, gram bigint, n bigint")
+    counted = sample.select("text", "lang").transform(in_arrow, count, "lang string, gram bigint, n bigint")
     totals = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     whole = totals.where("gram IS NULL").select("lang", F.col("n").alias("documents"))
     usual = totals.where("gram IS NOT NULL").join(whole, "lang").where(F.col("n") >= F.greatest(F.lit(1), LEAST_SHARE * F.col("documents")))
@@ -193,4 +193,4 @@ def keep_identified(docs: DataFrame) -> DataFrame:
             keep = [held.value.predict(t)[0] != "und" for t in part.column(at).to_pylist()]
             yield part.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.transform(in_arrow, run, docs.schema)

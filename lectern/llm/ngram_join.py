@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import components, slices, written
+from lectern.llm.common import components, in_arrow, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
@@ -147,7 +147,7 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
         if count:
             yield common()
 
-    table = written(docs.select("doc_id", "text").mapInArrow(run, schema), "signatures")
+    table = written(docs.select("doc_id", "text").transform(in_arrow, run, schema), "signatures")
     rows = table.where("sid IS NOT NULL").select("doc_id", "sid", "chk", "size")
     total = rows.agg(F.sum("size")).first()[0] or 0
     often = table.where("sid IS NULL").groupBy("shingle").agg(F.sum("size").alias("n")).where(F.col("n") > max(1.0, COMMON * total))
@@ -193,7 +193,7 @@ def _heads(docs: DataFrame, shingler, percent: int) -> DataFrame:
                 common.append(x[ordinary : max(prefix, ordinary)])
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(facts, pa.int64()), _lists(rare), _lists(common)], names=["sid", "facts", "rare", "common"])
 
-    return docs.select("text").mapInArrow(run, "sid bigint, facts bigint, rare array<bigint>, common array<bigint>")
+    return docs.select("text").transform(in_arrow, run, "sid bigint, facts bigint, rare array<bigint>, common array<bigint>")
 
 
 def _prefixes(heads: DataFrame) -> DataFrame:
@@ -228,7 +228,7 @@ def _sets(texts: DataFrame, shingler) -> DataFrame:
             part = part.filter(pa.array(own, pa.bool_()))
             yield pa.RecordBatch.from_arrays([*part.columns[:2], _lists([x for x, o in zip(sets, own, strict=True) if o])], names=["sid", "blocks", "elements"])
 
-    return texts.select("sid", "blocks", "text").mapInArrow(run, f"sid bigint, blocks {texts.schema['blocks'].dataType.simpleString()}, elements array<bigint>")
+    return texts.select("sid", "blocks", "text").transform(in_arrow, run, f"sid bigint, blocks {texts.schema['blocks'].dataType.simpleString()}, elements array<bigint>")
 
 
 class _Node:
@@ -395,7 +395,7 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
 
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cells = rows.select("block", "ci", "cj", "sid", "linked", "elements").repartition(parts, "block", "ci", "cj").sortWithinPartitions("block", "ci", "cj", "sid")
-    return cells.mapInArrow(run, "u bigint, v bigint")
+    return cells.transform(in_arrow, run, "u bigint, v bigint")
 
 
 def _block_links(sets: DataFrame, percent: int) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import slices, written
+from lectern.llm.common import in_arrow, slices, written
 from lectern.llm.tokens import encoder
 
 
@@ -60,7 +60,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end_id: int) -> DataFrame:
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length int, ids_crc32 bigint, part int, slot bigint")
+    return docs.select("doc_id", "text").transform(in_arrow, run, f"doc_id {kind}, piece int, start bigint, length int, ids_crc32 bigint, part int, slot bigint")
 
 
 def plan(histogram: dict[int, int], capacity: int, documents: int | None = None, attention: int | None = None, weights: tuple[float, float, float] = (1.0, 0.01, 0.01), rule: str = "norm") -> np.ndarray:
@@ -148,5 +148,5 @@ def pack(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, **co
 
     ranked = held.join(starts, ["part", "length"]).select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("slot") + F.col("before")).alias("rank"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found = ranked.mapInArrow(run, f"doc_id {kind}, piece int, start bigint, length int, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    found = ranked.transform(in_arrow, run, f"doc_id {kind}, piece int, start bigint, length int, ids_crc32 bigint, sequence_id bigint, offset bigint")
     return found.withColumn("length", F.col("length").cast("bigint"))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import slices, written
+from lectern.llm.common import in_arrow, slices, written
 
 #: A sentence: up to and with its stops or line ends; a text is the sum of its sentences.
 SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
@@ -64,7 +64,7 @@ def repeated_spans(docs: DataFrame, run: int = 3) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    spans = written(named.mapInArrow(hashes, f"doc_id {kind}, text_hash bigint, spans array<bigint>"), "spans")
+    spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, spans array<bigint>"), "spans")
     each = spans.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("doc"), F.posexplode("spans").alias("pos", "span"))
     each = each.select("span", F.struct("doc.*", "pos").alias("place"))
     first = each.groupBy("span").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").select("span", "first")
@@ -105,7 +105,7 @@ def cut_repeats(docs: DataFrame, run: int = 3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)], names=[*keep, "n_sentences", "n_removed", "removed"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return joined.mapInArrow(cut, f"{schema}, {extra}")
+    return joined.transform(in_arrow, cut, f"{schema}, {extra}")
 
 
 def _joined(found: list[str], gone: set[int]) -> list[dict]:

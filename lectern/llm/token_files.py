@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import new_path, slices, written
+from lectern.llm.common import in_arrow, new_path, slices, written
 from lectern.llm.tokens import encoder
 
 MAGIC = b"EFT1"
@@ -198,7 +198,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int, folder: str | None = N
             yield pa.RecordBatch.from_pylist([{"shard": context.partitionId(), "file": name, "documents": n, "ids": ids}])
 
     dealt = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    manifest = written(dealt.mapInArrow(run, "shard bigint, file string, documents bigint, ids bigint"), "manifest")
+    manifest = written(dealt.transform(in_arrow, run, "shard bigint, file string, documents bigint, ids bigint"), "manifest")
     before = F.sum("ids").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
     return manifest.withColumn("base", F.coalesce(before, F.lit(0)))
 
@@ -220,4 +220,4 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 
     parts = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     files = manifest.select("file", "base").repartition(parts, "file")
-    return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return files.transform(in_arrow, run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
