@@ -1,0 +1,437 @@
+"""Each operator on small fixtures, against brute force, round trips or plain statements of the result."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from lectern.llm import bpe, chat, common, exact_dedup, langid, licenses, ngram_join, packing, quality, sentence_spans, token_files, tokens
+
+PATH = tokens.default_path()
+ODD = [None, "", "   \n\t", "a", "a", "x" * 5000, "it's <|endoftext|> Été ΣΑΣ", "日本語 ½ \x00\x07", "ab " * 3000]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def _ids(library, text):
+    return library.encode(text or "", add_special_tokens=False).ids
+
+
+# --- chat formatting
+
+
+def _turns(spark, rows):
+    return spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string, example string")
+
+
+def test_chat_round_trip(spark):
+    hard = ["\\### Assistant: </turn> ok", "\\\\b\\e\\h", "### user: a</turn>\n### assistant: b", "", None, "</turn", "\n", "#" * 9 + " "]
+    rows = [(c, t, "assistant" if t % 2 else "user: ### </turn>", hard[(c + t) % len(hard)], "x") for c in range(8) for t in range(5)]
+    made = chat.digests(chat.examples(_turns(spark, rows))).collect()
+    assert len(made) == 8
+    for r in made:
+        own = [(x[2], x[3] or "") for x in rows if x[0] == r.conv_id]
+        loss = "".join(t for role, t in own if role == "assistant")
+        assert r.n_turns == 5
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in own).encode()).hexdigest()
+        assert (r.loss_chars, r.loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+
+
+def test_chat_examples_are_prefixes(spark):
+    rows = [(1, 0, "system", "s", ""), (1, 1, "user", "q", ""), (1, 2, "assistant", "r1", ""), (1, 3, "user", "q2", ""), (1, 4, "assistant", "r2", ""), (1, 5, "user", "end", "")]
+    out = sorted(chat.examples(_turns(spark, rows)).collect(), key=lambda r: r.example)
+    assert [r.target_turn for r in out] == [2, 4, None]
+    assert [r.formatted[r.loss_start : r.loss_start + r.loss_length] for r in out] == ["r1", "r2", ""]
+    assert all(b.formatted.startswith(a.formatted) for a, b in zip(out, out[1:], strict=False))
+
+
+def test_chat_empty_and_nulls(spark):
+    assert chat.examples(_turns(spark, [])).count() == 0
+    out = chat.digests(chat.examples(_turns(spark, [(None, None, None, None, None), (None, None, None, None, None)]))).collect()
+    assert [(r.conv_id, r.n_turns, r.loss_chars) for r in out] == [(None, 2, 0)]
+
+
+# --- licenses
+
+
+def test_license_found_and_missed(make):
+    notice = licenses.TEMPLATES["GPL-3.0"]
+    filler = " ".join(["the public work of a license is under version"] * 40)
+    rows = [(1, f"{filler}\n{notice}\n{filler}"), (2, filler), (3, None), (4, ""), (5, notice.replace("General", "Genral")), (None, "Released under the MIT License."), (6, licenses.TEMPLATES["MIT-permission"].upper())]
+    got = {r.doc_id: r for r in licenses.best_license(licenses.scan(make(rows))).collect()}
+    assert got[1].license == "GPL-3.0" and got[1].coverage == 1.0
+    assert got[2].license is got[3].license is got[4].license is None
+    assert got[5].license == "GPL-3.0" and 0.8 <= got[5].coverage < 1
+    assert got[None].license == "MIT" and got[6].license == "MIT-permission"
+
+
+def _lis(values):
+    best = [1] * len(values)
+    for k in range(len(values)):
+        best[k] = 1 + max([best[j] for j in range(k) if values[j] < values[k]], default=0)
+    return max(best, default=0)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(0, 30), max_size=25))
+def test_patience_is_longest(values):
+    found = [values[k] for k in licenses.increasing(values)]
+    assert found == sorted(set(found)) and len(found) == _lis(values)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from("abcdefgh"), max_size=20), st.lists(st.sampled_from("abcdefgh"), max_size=20))
+def test_alignment_is_increasing(a, b):
+    pairs = licenses.align(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    if a == b:
+        assert len(pairs) == len(a)
+
+
+# --- BPE
+
+
+def test_bpe_as_the_library(make, library, spark, sf):
+    texts = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()] + ODD
+    texts += ["".join(chr(c) for c in range(k, k + 97)) for k in range(1, 0x2000, 97)]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (bytes(r.ids), r.decoded) for r in bpe.encode_documents(make(rows), PATH).collect()}
+    plain = tokens.encoder(PATH)
+    for k, text in rows:
+        ids = _ids(library, text)
+        assert np.frombuffer(got[k][0], "<u4").tolist() == ids
+        assert got[k][1] == library.decode(ids, skip_special_tokens=False)
+        assert plain(text) == got[k][0]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="abcdehilnorst", min_size=1, max_size=40))
+def test_bpe_words(word):
+    e = tokens.encoder(PATH, bpe.PrefixEncoder)
+    assert e.encode_letters(word) == e.tokenizer.encode(word, add_special_tokens=False).ids
+
+
+# --- n-gram join
+
+
+def _brute(rows, n, percent):
+    sets = {}
+    for k, t in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        sets[k] = {tuple(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({tuple(w)} if w else set())
+    up = {k: k for k in sets}
+
+    def find(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a in sets:
+        for b in sets:
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                up[max(x, y)] = min(x, y)
+    return {k: (len(s), find(k)) for k, s in sets.items()}
+
+
+def _near_rows(seed, many=50):
+    rng = random.Random(seed)
+    vocab = [f"w{k}" for k in range(300)]
+    passage = [rng.choice(vocab) for _ in range(20)]
+    rows = []
+    for k in range(many):
+        base = [rng.choice(vocab) for _ in range(rng.choice([2, 4, 30, 120]))]
+        if k % 3 == 0:
+            base += passage
+        for c in range(rng.choice([1, 1, 4])):
+            w = list(base)
+            for _ in range(rng.choice([0, 1, 2])):
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            rows.append((len(rows), " ".join(w) if c % 2 else "  ".join(w).upper()))
+    return rows
+
+
+@pytest.mark.parametrize(("n", "percent", "block", "cell"), [(4, 85, 2000, 500), (5, 80, 2, 2)])
+def test_ngram_join_is_exact(make, monkeypatch, n, percent, block, cell):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    monkeypatch.setattr(ngram_join, "CELL", cell)
+    rows = [*_near_rows(n), (900, None), (901, ""), (902, " "), (903, "one"), (904, "ONE")]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(make(rows), n, percent).collect()}
+    assert got == _brute(rows, n, percent)
+
+
+def test_ngram_join_edges(make):
+    text = " ".join(f"w{k}" for k in range(40))
+    rows = [(5, text), (5, text), (None, text), (7, text + " more"), (None, "alone here now and then")]
+    got = sorted((r.doc_id or -1, r.component_id or -1) for r in ngram_join.near_classes(make(rows)).collect())
+    assert got == [(-1, -1), (-1, 5), (5, 5), (5, 5), (7, 5)]
+    assert ngram_join.near_classes(make([])).count() == 0
+    kept = ngram_join.keep_one(make(rows))
+    assert kept.columns == make(rows).columns and kept.where("doc_id = 7").count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.sets(st.integers(0, 40), min_size=1, max_size=30), min_size=2, max_size=25), st.sampled_from([50, 80, 85]), st.booleans())
+def test_trie_links_all_classes(sets, percent, led):
+    arrays = [np.array(sorted(s), np.int64) for s in sets]
+    linked = [led and k < 2 for k in range(len(sets))]
+    links = ngram_join.join_sets(list(range(len(sets))), arrays, percent, linked)
+
+    def classes(edges):
+        up = list(range(len(sets)))
+        for a, b in edges:
+            a, b = up[a], up[b]
+            up = [min(a, b) if x in (a, b) else x for x in up]
+        return up
+
+    start = [(0, 1)] if led else []
+    want = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
+    assert classes(start + links) == classes(start + want)
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 130)]
+    got = {r.node: r.label for r in common.components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    up = {x: x for e in edges for x in e}
+    for _ in up:
+        for a, b in edges:
+            up[a] = up[b] = min(up[a], up[b])
+    assert got == {x: y for x, y in up.items() if any(x in e and e[0] != e[1] for e in edges)}
+
+
+# --- quality rules
+
+
+def _measures(text):
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    win = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
+    rep = {k + j for k in range(len(w) - 2) if win[tuple(w[k : k + 3])] > 1 for j in range(3)}
+    lines = [x for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")]
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(rep))
+
+
+def test_quality_measures(make):
+    texts = [*ODD, "a b c d a b c", "x y\nx y\n\n \nx y", "# $ % word|<>&*", "a b a b a b a b", "\x0b\x0c\x1c x\x85y"]
+    got = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in quality.measures(make(list(enumerate(texts))), "doc_id").collect()}
+    assert got == {k: _measures(t) for k, t in enumerate(texts)}
+
+
+def test_binomial_tail(spark):
+    from math import comb
+
+    from pyspark.sql import functions as F
+
+    rows = [(k, n) for n in (1, 20, 300, 5000) for k in (0, 1, 3, 40) if k <= n]
+    got = spark.createDataFrame(rows, "k bigint, n bigint").select("k", "n", quality.binomial_tail(F.col("k"), F.col("n"), 0.025).alias("p")).collect()
+    for r in got:
+        want = 1.0 if r.k >= 0.025 * r.n else sum(comb(r.n, i) * 0.025**i * 0.975 ** (r.n - i) for i in range(r.k + 1))
+        assert r.p == pytest.approx(want, rel=1e-9)
+
+
+def test_quality_limits_false_rejection(spark, make):
+    rng = random.Random(1)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    good = [(k, " ".join(word() for _ in range(60)), "en") for k in range(900)]
+    bad = [(k, " ".join("###" + word() for _ in range(60)), "en") for k in range(900, 950)]
+    few = [(k, " ".join("#" + word() for _ in range(60)), "fr") for k in range(950, 960)]
+    rows = [*good, *bad, *few, (990, None, None), (None, good[0][1], None)]
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(900)] + [(k, 0, 0) for k in range(900, 950)] + [(None, 1, 0), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    got = {r.doc_id: r for r in quality.judge(make(rows), labels).collect()}
+    assert all(got[k].kept for k in range(900)) and not any(got[k].kept for k in range(900, 950))
+    assert all(got[k].kept for k in range(950, 960))  # too few labels to reject anything
+    assert got[990].base_failed and not got[990].kept and got[None].kept
+    assert quality.judge(make([]), labels).count() == 0
+
+
+# --- packing
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.dictionaries(st.integers(1, 50), st.integers(1, 30), max_size=20), st.sampled_from([None, 3]), st.sampled_from([None, 1500]), st.sampled_from(["norm", "dot"]))
+def test_plan_keeps_all_constraints(histogram, documents, attention, rule):
+    if attention and any(x * x > attention for x in histogram):
+        attention = None
+    steps = packing.plan(histogram, 50, documents, attention, rule=rule)
+    bins, placed = defaultdict(list), defaultdict(set)
+    for length, rank, count, first, offset in steps.tolist():
+        for k in range(count):
+            bins[first + k].append((offset, length))
+            assert rank + k not in placed[length]
+            placed[length].add(rank + k)
+    assert {x: set(range(n)) for x, n in histogram.items()} == dict(placed)
+    for own in bins.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))]
+        assert sum(x for _, x in own) <= 50
+        assert not documents or len(own) <= documents
+        assert not attention or sum(x * x for _, x in own) <= attention
+
+
+def test_pack_documents(make, library):
+    rows = [*enumerate(ODD), (None, "null id"), (1, "again")]
+    out = packing.pack(make(rows), PATH, capacity=64).collect()
+    ids = {k: [*_ids(library, t), 0] for k, t in rows if k not in (None, 1)}
+    for r in out:
+        if r.doc_id in ids:
+            own = np.array(ids[r.doc_id][r.start : r.start + r.length], "<u4")
+            assert len(own) == r.length and zlib.crc32(own.tobytes()) == r.ids_crc32 and r.start == 64 * r.piece
+    assert sum(r.length for r in out if r.doc_id in ids) == sum(map(len, ids.values()))
+    by = defaultdict(list)
+    for r in out:
+        by[r.sequence_id].append((r.offset, r.length))
+    for own in by.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))] and sum(x for _, x in own) <= 64
+    assert len(by) <= -(-sum(r.length for r in out) // 64) + 1
+    assert packing.pack(make([]), PATH).count() == 0
+
+
+# --- token files
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(0, 10**6), max_size=700), st.data())
+def test_elias_fano(values, data):
+    values.sort()
+    ef = token_files.EliasFano.build(np.array(values, np.int64))
+    assert [ef.select(k) for k in range(len(values))] == values
+    a = data.draw(st.integers(0, len(values)))
+    b = data.draw(st.integers(a, len(values)))
+    assert ef.range(a, b).tolist() == values[a:b]
+
+
+def test_elias_fano_is_small():
+    values = np.cumsum(np.random.default_rng(1).integers(1, 2000, 10000))
+    assert sum(map(len, token_files.EliasFano.build(values).parts())) * 8 < 13 * len(values)
+
+
+def test_token_files_round_trip(make, library):
+    rows = [(3 * k - 5, t) for k, t in enumerate(ODD)] + [(None, "no id"), (2**40, "far")]
+    manifest = token_files.write_shards(make(rows), PATH, end_id=1, shards=3)
+    got = token_files.read_shards(manifest).collect()
+    start = 0
+    for key, text in sorted(rows, key=lambda r: (r[0] is not None, r[0])):
+        ids = np.array([*_ids(library, text), 1], "<u4")
+        assert [(r.start, r.n_tokens, r.ids_crc32) for r in got if r.doc_id == key] == [(start, len(ids), zlib.crc32(ids.tobytes()))]
+        start += len(ids)
+    for f in manifest.collect():
+        reader = token_files.ShardReader(f.file)
+        first = next(iter(reader.blocks()))
+        assert reader.document(0)[1] == first[2][: first[1][1]].astype("<u4").tobytes()
+    assert token_files.read_shards(token_files.write_shards(make([]), PATH, end_id=1)).count() == 0
+
+
+# --- language ID
+
+
+def test_language_id_held_out(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    got = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert len(got) > 20 and sum(r.lang == r.lang_pred for r in got) / len(got) >= 0.98
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_language_id_edges(make):
+    rows = [(k, "the cat and the dog", "en") for k in range(20)] + [(k, "der hund und die katze", "de") for k in range(20, 40)] + [(50, None, None), (51, "123 !?", "en"), (52, "und der hund", None), (None, "the dog", None)]
+    got = {r.doc_id: r for r in langid.identify(make(rows)).collect()}
+    assert got[50].lang_pred == got[51].lang_pred == "und" and got[50].score == 0
+    assert got[52].lang_pred == "de" and got[None].lang_pred == "en" and got[None].held_out is None
+    assert got[3].held_out == (zlib.crc32(b"3") % 4 == 2)
+    kept = langid.keep_identified(make(rows))
+    assert kept.count() == len(rows) - 2 and kept.columns == make(rows).columns
+    assert langid.identify(make([])).count() == 0
+
+
+def test_bit_sliced_filter_returns_all_languages():
+    grams = {f"l{k:03d}": np.arange(k, k + 50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k in range(0, 700, 10)}
+    f = langid.LanguageFilters.build(grams)
+    assert f.table.shape[0] == 2  # more than 64 languages take a second slice
+    for bit, name in enumerate(f.languages):
+        cells = [langid._cells(grams[name], k, langid.CELLS) for k in range(langid.PROBES)]
+        mask = f.table[bit // 64][cells[0]] & f.table[bit // 64][cells[1]] & f.table[bit // 64][cells[2]]
+        assert (mask >> np.uint64(bit % 64) & np.uint64(1)).all()
+
+
+# --- sentence spans
+
+
+def _cut(rows, run=3):
+    split = {k: sentence_spans.SENTENCE.findall(t or "") for k, t in rows}
+    seen, out = set(), {}
+    for k, _ in sorted(rows):
+        own = [j for j, s in enumerate(split[k]) if s.strip()]
+        gone = set()
+        for p in range(len(own) - run + 1):
+            span = tuple(" ".join(split[k][j].split()) for j in own[p : p + run])
+            if span in seen:
+                gone |= set(own[p : p + run])
+            seen.add(span)
+        out[k] = "".join(s for j, s in enumerate(split[k]) if j not in gone)
+    return out
+
+
+def test_sentence_spans_brute_force(make):
+    rng = random.Random(5)
+    pool = [f"Sentence {k} of it{rng.choice('.!?')}" for k in range(40)]
+    passage = " ".join(pool[:6])
+    rows = [(k, " ".join(rng.choice(pool) for _ in range(12)) + rng.choice(["\n", " "]) + (passage if k % 4 == 0 else "") + "\n\nend") for k in range(60)]
+    rows += [(100, ""), (101, "a. a. a. a. a. a."), (102, "no stop"), (103, "...\n\n")]
+    out = sentence_spans.cut_repeats(make(rows)).collect()
+    assert {r.doc_id: r.text for r in out} == _cut(rows)
+    text = dict(rows)
+    for r in out:
+        keep = text[r.doc_id]
+        for s in r.removed[::-1]:
+            keep = keep[: s.start] + keep[s.end :]
+        assert keep == r.text
+
+
+def test_sentence_spans_edges(make):
+    t = "One two. Three four. Five six. Seven."
+    rows = [(1, t), (1, t), (2, t), (None, t), (None, None)]
+    got = sorted((r.doc_id or 99, r.text or "") for r in sentence_spans.cut_repeats(make(rows)).collect())
+    assert got == [(1, t), (1, t), (2, ""), (99, ""), (99, "")]
+    assert sentence_spans.cut_repeats(make([])).count() == 0
+
+
+# --- exact dedup
+
+
+def test_exact_dedup_brute_force(make):
+    rng = random.Random(2)
+    rows = [(k, rng.choice(["a b", "ab ", "abc", "", None, " ", "a\tb\n", "x\x1cy"])) for k in range(80)] + [(None, "ab"), (3, "ab"), (3, "ab")]
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]", "", t or "")
+    groups = defaultdict(list)
+    for k, t in rows:
+        groups[norm(t)].append((-len(t or ""), k is None, k or 0, k))
+    out = exact_dedup.exact_groups(make(rows)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        own = next(g for n, g in groups.items() if hashlib.sha256(n.encode()).hexdigest() == r.text_sha256)
+        assert (r.keep_id, r.group_size) == (min(own)[3], len(own))
+    assert Counter(r.text_sha256 for r in out if r.kept) == Counter(hashlib.sha256(n.encode()).hexdigest() for n in groups)
+    kept = exact_dedup.drop_copies(make(rows))
+    assert kept.columns == make(rows).columns
+    assert sorted(norm(r.text) for r in kept.collect()) == sorted(groups)
+    assert exact_dedup.exact_groups(make([])).count() == 0 and exact_dedup.drop_copies(make([])).count() == 0
+
+
+def test_tree_merge_with_many_runs(spark):
+    rows = [(k, f"text {k % 37}") for k in range(2000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(70)
+    out = exact_dedup.exact_groups(docs).collect()
+    assert all(r.keep_id == min(k for k, t in rows if k % 37 == r.doc_id % 37 and len(t) == max(len(u) for j, u in rows if j % 37 == r.doc_id % 37)) for r in out[:50])
+    assert sum(r.kept for r in out) == 37
