@@ -37,6 +37,8 @@ def new_path(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
     path = new_path(df.sparkSession, name)
+    # What was shuffled for this table goes when it is written, not when the driver next collects garbage.
+    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

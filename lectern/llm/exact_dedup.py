@@ -93,11 +93,17 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     Only texts met more than once are looked up.  Repeated rows that agree in doc_id, text digest
     and length stand for one another; one of them stays.
     """
-    merged = tree_merge(written(digest_rows(docs), "digests")).where("n > 1")
+    rows = written(digest_rows(docs), "digests")
+    merged = tree_merge(rows).where("n > 1")
     merged = written(merged.select(F.col("sha").alias("__sha"), F.struct("best.*").alias("__best")), "copies")
+
+    def is_best(chars):
+        return F.col("doc_id").eqNullSafe(F.col("__best.doc_id")) & (chars == -F.col("__best.minus_chars"))
+
+    again = rows.join(merged, rows.sha == merged["__sha"]).where(is_best(F.col("chars"))).groupBy("__sha").count().where("count > 1")
     joined = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256)).join(merged, "__sha", "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    chars = F.length(F.coalesce("text", F.lit("")))
-    best = joined.where(F.col("doc_id").eqNullSafe(F.col("__best.doc_id")) & (chars == -F.col("__best.minus_chars")))
-    once = joined.where("__best IS NULL").select(*own)
-    return once.unionByName(best.dropDuplicates(["__sha"]).select(*own))
+    best = is_best(F.length(F.coalesce("text", F.lit(""))))
+    if again.isEmpty():
+        return joined.where(F.col("__best").isNull() | best).select(*own)
+    return joined.where("__best IS NULL").select(*own).unionByName(joined.where(best).dropDuplicates(["__sha"]).select(*own))

@@ -3,7 +3,7 @@
 A document is the set of its n-word shingles, as 62-bit numbers in one global order.  Two sets that
 are similar enough share one of the first elements of that order (the prefix), so only sets that are
 connected by shared prefix elements, and near enough in size, are ever brought together.  The order puts rare shingles first:
-those below SAMPLE of the range of hashes by the number of documents that hold them, then other
+those in a lower part of the range of hashes (see SAMPLE) by the number of documents that hold them, then other
 ones, then those that a large share of all documents hold.  A set that holds more shingles of its
 own among the sampled ones than a similar set may lack has no partner and goes no further.
 
@@ -36,8 +36,9 @@ from lectern.llm.common import components, in_arrow, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
-#: Share of all hashes whose shingles are counted over all documents to order them by rarity.
-SAMPLE = 0.2
+#: Share of all hashes whose shingles are counted over all documents to order them by rarity, as a
+#: multiple of the share of a set that a similar one may lack: above 1, else no set can be left out.
+SAMPLE = 4 / 3
 #: Shingles whose common ones are counted together in a task.
 COUNTED = 1 << 22
 #: Sets of a block, and of one side of a cell.
@@ -161,6 +162,11 @@ def _lists(sets: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets) if sets else np.empty(0, np.int64)))
 
 
+def sample_border(percent: int) -> int:
+    """Shingles below it are sampled."""
+    return int(min(1.0, SAMPLE * (100 - percent) / 100) * 2.0**62)
+
+
 def bands(percent: int) -> list[int]:
     """Where each band of sizes starts: a set similar to one of band b is in band b - 1, b or b + 1."""
     starts = [1]
@@ -176,7 +182,7 @@ def _heads(docs: DataFrame, shingler, percent: int) -> DataFrame:
     that the prefix takes when there are too few others.  ``facts`` packs the band of its size, the
     number of sampled elements and the length of the prefix.
     """
-    border = np.int64(SAMPLE * 2.0**62)
+    border = np.int64(sample_border(percent))
     starts = bands(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,13 +202,13 @@ def _heads(docs: DataFrame, shingler, percent: int) -> DataFrame:
     return docs.select("text").transform(in_arrow, run, "sid bigint, facts bigint, rare array<bigint>, common array<bigint>")
 
 
-def _prefixes(heads: DataFrame) -> DataFrame:
+def _prefixes(heads: DataFrame, percent: int) -> DataFrame:
     """(sid, band, element): the elements of each set's prefix that another set may share.
 
     The number of documents that hold an element is counted where its rows meet; that never is a
     large share of all rows, since common elements take no part in it.
     """
-    border = int(SAMPLE * 2.0**62)
+    border = sample_border(percent)
     held = Window.partitionBy("element")
     each = heads.select("sid", "facts", F.explode("rare").alias("element"))
     each = each.select("sid", "facts", "element", F.count("*").over(held).alias("df"), F.min("sid").over(held).alias("a"), F.max("sid").over(held).alias("b")).where("a != b")
@@ -449,7 +455,7 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     held = docs.sparkSession.sparkContext.broadcast(common)  # bounded by COMMON
     shingler = lambda: Shingler(n, seed, held.value)
 
-    each = written(_prefixes(written(_heads(docs, shingler, percent), "heads")), "prefixes")
+    each = written(_prefixes(written(_heads(docs, shingler, percent), "heads"), percent), "prefixes")
     each = each.select("sid", "element", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
     shared = each.groupBy("element", "cell").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("held")).where("first != last")
     stars = written(each.join(shared, ["element", "cell"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
