@@ -56,3 +56,6 @@ def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = verse_lines(table(spark, sf_dir, "documents"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("v", "line"))), lambda x: x["line"])
     return lines.groupBy("doc_id").agg(F.sha2(F.array_join(ordered, "\n"), 256).alias("fp"), F.count("*").alias("n_lines"))
+
+
+from lectern.plans import catalog_rollups, catalog_texts  # noqa: E402,F401  they register their queries
