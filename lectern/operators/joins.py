@@ -15,7 +15,7 @@ def wildcard_join(left: DataFrame, rules: DataFrame, key: str, other: list[str],
     """
     own = left.join(rules, [key, *other], "left_semi")
     rest = left.join(rules.where(F.col(key) == wildcard).select(*other).distinct(), other, "left_semi")
-    return own.union(rest).distinct()
+    return own.unionByName(rest).distinct()
 
 
 def prefix_join(texts: DataFrame, audios: DataFrame, text_id: str, audio_id: str, least: int = 6, most: int = 7) -> DataFrame:

@@ -149,8 +149,8 @@ def last_wins(spark, sf_dir):
     return table(spark, sf_dir, "part").groupBy("p_name").agg(F.max_by("p_size", "p_partkey").alias("size"))
 
 
-@query("mode_order", """WITH c AS (SELECT lang, source, count(*) AS n, min(doc_id) AS at FROM documents GROUP BY ALL)
-SELECT lang, string_agg(source, ',' ORDER BY n DESC, at) AS ordered, count(*) > 1 AS multi FROM c GROUP BY 1""")
+@query("mode_order", """WITH c AS (SELECT lang, source, count(*) AS n, min(doc_id) AS pos FROM documents GROUP BY ALL)
+SELECT lang, string_agg(source, ',' ORDER BY n DESC, pos) AS ordered, count(*) > 1 AS multi FROM c GROUP BY 1""")
 def mode_order(spark, sf_dir):
     """Values by frequency, ties by first occurrence."""
     return rollups.mode_order(table(spark, sf_dir, "documents"), "lang", "source", "doc_id")
