@@ -21,13 +21,28 @@ HOMOGLYPHS = str.maketrans({
     "\u01e5": "g", "\u2184": "\u0254", "\u1d7e": "\u0289", "\uf21d": "'",
 })
 #: Signs read as an apostrophe in content strings.
-APOSTROPHES = "'`´‘’‛ʹʻ′"
+APOSTROPHES = "'\u2019\u02bc\u02bb\ua78c\u00b4`\u2032\uff07"
 MODIFIER = "\u02bc"
+_ONE_APOSTROPHE = str.maketrans({c: MODIFIER for c in APOSTROPHES})
+
+
+class _Keep(dict):
+    """A table for ``str.translate`` that keeps the characters of some categories, filled as they are met."""
+
+    def __init__(self, kinds: str) -> None:
+        self.kinds = kinds
+
+    def __missing__(self, code: int) -> int | None:
+        self[code] = code if unicodedata.category(chr(code))[0] in self.kinds else None
+        return self[code]
+
+
+_LETTERS, _LETTERS_AND_MARKS = _Keep("L"), _Keep("LM")
 
 
 def letters_key(text: str | None) -> str:
     """Lower case, compatibility decomposition, letters only."""
-    return "".join(c for c in unicodedata.normalize("NFKD", (text or "").lower()) if unicodedata.category(c)[0] == "L")
+    return unicodedata.normalize("NFKD", (text or "").lower()).translate(_LETTERS)
 
 
 _BLOCKS = re.compile(r"\\(x|f|rq|fig)\b.*?\\\1\*", re.S)
@@ -93,8 +108,7 @@ def written_tokens(text: str) -> list[str]:
 def content(text: str | None) -> str:
     """NFC, lower case, final sigma as sigma, one apostrophe, letters and marks only."""
     t = unicodedata.normalize("NFC", text or "").lower().replace("ς", "σ")
-    t = unicodedata.normalize("NFC", "".join(MODIFIER if c in APOSTROPHES else c for c in t))
-    return "".join(c for c in t if unicodedata.category(c)[0] in "LM")
+    return unicodedata.normalize("NFC", t.translate(_ONE_APOSTROPHE)).translate(_LETTERS_AND_MARKS)
 
 
 def script_of(c: str) -> str:
@@ -104,7 +118,11 @@ def script_of(c: str) -> str:
 
 def script_letters(text: str | None) -> dict[str, int]:
     """Letters by script."""
-    return dict(Counter(script_of(c) for c in text or "" if unicodedata.category(c)[0] == "L"))
+    counts: Counter = Counter()
+    for c, n in Counter(text or "").items():
+        if unicodedata.category(c)[0] == "L":
+            counts[script_of(c)] += n
+    return dict(counts)
 
 
 def detect_script(counts: dict[str, int]) -> tuple[str | None, list[str]]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import compare, rollups, text
+from lectern.operators import compare, rollups, text, tokens, verses
 from lectern.plans.catalog import LINES_SQL, query, verse_lines
 from lectern.session import table
 
@@ -26,7 +26,7 @@ def token_counts(spark, sf_dir):
     return _docs(spark, sf_dir).select("doc_id", toks.alias("n_tokens"))
 
 
-@query("content_fingerprint", r"""SELECT doc_id, sha256(regexp_replace(lower(nfc_normalize(regexp_replace(text, '[''`´‘’‛ʹʻ′]', 'ʼ', 'g'))), '[^\p{L}\p{M}]', '', 'g')) AS fp FROM documents""")
+@query("content_fingerprint", r"""SELECT doc_id, sha256(regexp_replace(lower(nfc_normalize(regexp_replace(text, '[''’ʼʻꞌ´`′＇]', 'ʼ', 'g'))), '[^\p{L}\p{M}]', '', 'g')) AS fp FROM documents""")
 def content_fingerprint(spark, sf_dir):
     """Digest of the content string."""
     return _docs(spark, sf_dir).select("doc_id", F.sha2(text.content_col("text"), 256).alias("fp"))
@@ -125,3 +125,25 @@ def diagnose_pairs(spark, sf_dir):
     """Why the closest pairs below 1 differ."""
     p = compare.probes(_docs(spark, sf_dir))
     return compare.diagnose(compare.pair_scores(p), p)
+
+
+@query("written_tokens", f"WITH {LINES_SQL} SELECT doc_id, v, toks AS tokens, toks AS written FROM lines")
+def written_tokens(spark, sf_dir):
+    """Tokens and written tokens by the general tokenizer; these texts have no marks."""
+    lines = _docs(spark, sf_dir).select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    return lines.select("doc_id", (F.col("pos") + 1).cast("bigint").alias("v"), tokens.tokens_col("line").alias("tokens"), tokens.tokens_col("line", written=True).alias("written"))
+
+
+@query("usj_verses", """SELECT conv_id, '1' AS chapter, CAST(turn + 1 AS VARCHAR) AS verse, trim(regexp_replace(text, '[\\t\\n\\v\\f\\r ]+', ' ', 'g')) AS text
+FROM conversations WHERE regexp_matches(text, '[^\\s]')""")
+def usj_verses(spark, sf_dir):
+    """X11: verses of a marked-up book, here a conversation as a chapter with a note in every verse."""
+    turns = table(spark, sf_dir, "conversations").where("text IS NOT NULL")
+    kind = lambda k, **x: F.struct(F.lit(k).alias("type"), *[F.lit(v).alias(n) for n, v in x.items()])
+    para = F.to_json(F.struct(F.lit("para").alias("type"), F.lit("p").alias("marker"), F.array(F.to_json(F.struct(F.lit("verse").alias("type"), (F.col("turn") + 1).cast("string").alias("number"))), F.to_json(kind("note", marker="f")), F.to_json(F.struct(F.lit("char").alias("type"), F.lit("nd").alias("marker"), F.array("text").alias("content")))).alias("content")))
+    book = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", para.alias("p")))).alias("ps"))
+    chapter = F.lit('{"type": "chapter", "number": "1"}')
+    # Items are JSON texts inside JSON: opened again by the concatenation.
+    items = F.transform("ps", lambda x: F.regexp_replace(F.replace(F.replace(F.replace(F.replace(x["p"], F.lit('"{'), F.lit("{")), F.lit('}"'), F.lit("}")), F.lit('\\"'), F.lit('"')), F.lit("\\\\"), F.lit("\\")), "$^", ""))
+    raw = F.concat(F.lit('{"content": ['), chapter, F.lit(", "), F.array_join(items, ", "), F.lit("]}"))
+    return verses.verse_table(book.select("conv_id", raw.alias("raw")), ["conv_id"], "raw", "usj").select("conv_id", "chapter", "verse", "text")

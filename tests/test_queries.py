@@ -1,6 +1,7 @@
 """Every registered query of the catalog against its SQL on the small tables."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__
@@ -11,7 +12,17 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def _norm(frame):
     frame = frame[sorted(frame.columns)]
-    return sorted(tuple(repr(round(x, 9)) if isinstance(x, float) else str(x) for x in row) for row in frame.itertuples(index=False))
+    return sorted(tuple(map(_plain, row)) for row in frame.itertuples(index=False))
+
+
+def _plain(x):
+    if not hasattr(x, "__len__") and pd.isna(x):
+        return "null"
+    if isinstance(x, float):
+        return repr(round(x, 9))
+    if isinstance(x, int):
+        return repr(float(x))
+    return str(list(x)) if hasattr(x, "tolist") and hasattr(x, "__len__") else str(x)
 
 
 @pytest.fixture(scope="module")
