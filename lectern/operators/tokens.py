@@ -8,6 +8,7 @@ token keeps them, so that both lists have the same length by construction.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 import pandas as pd
@@ -110,8 +111,15 @@ def _pieces(run: list[str], karen: bool) -> list[list[str]]:
     return out
 
 
+#: Letters that have no marks of their own and set spaces: here a token is a run of letters, and written so.
+_PLAIN = re.compile("[\\x00-\\u02ff]*")
+_PLAIN_RUN = re.compile("[" + "".join(re.escape(chr(c)) for c in range(0x300) if unicodedata.category(chr(c))[0] == "L") + "]+")
+
+
 def token_pairs(text: str | None) -> list[tuple[str, str]]:
     """(token, written token) in order."""
+    if _PLAIN.fullmatch(text or ""):
+        return [(t, t) for t in _PLAIN_RUN.findall(unicodedata.normalize("NFC", text or ""))]
     karen = is_karen(strip_marks(text or ""))
     return [("".join(x[0] for x in p), "".join(p)) for run in _runs(text or "") for p in _pieces(run, karen)]
 

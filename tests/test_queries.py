@@ -1,5 +1,7 @@
 """Every registered query of the catalog against its SQL on the small tables."""
 
+import numbers
+
 import duckdb
 import pandas as pd
 import pytest
@@ -18,10 +20,8 @@ def _norm(frame):
 def _plain(x):
     if not hasattr(x, "__len__") and pd.isna(x):
         return "null"
-    if isinstance(x, float):
-        return repr(round(x, 9))
-    if isinstance(x, int):
-        return repr(float(x))
+    if isinstance(x, numbers.Number):
+        return repr(round(float(x), 9))
     return str(list(x)) if hasattr(x, "tolist") and hasattr(x, "__len__") else str(x)
 
 
