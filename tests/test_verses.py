@@ -75,7 +75,7 @@ def test_tokens(raw, toks, written):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(alphabet="aé́神のဂၢ်ဒေကျ ̀︀1-", max_size=20))
+@given(st.text(alphabet="aé́神のဂၢ်ဒေကျ ̀1-", max_size=20))
 def test_written_token_without_marks_is_the_token(raw):
     pairs = tokens.token_pairs(raw)
     assert all(tokens.strip_marks(b) == a for a, b in pairs)
