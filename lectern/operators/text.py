@@ -46,14 +46,18 @@ def letters_key(text: str | None) -> str:
 
 
 _BLOCKS = re.compile(r"\\(x|f|rq|fig)\b.*?\\\1\*", re.S)
-_TAGS = re.compile(r"<[^<>]*>|\\\+?[a-z]+\d*\*?")
+_TAGS = re.compile(r"\\[A-Za-z0-9]+\*?")
 
 
-def normalized_chars(text: str | None) -> str:
-    """Notes and tags to blanks; lower; look-alikes; NFKD without marks; letters and apostrophes only."""
+def folded_text(text: str | None) -> str:
+    """The first steps of X1 and X2: notes and tags to blanks; lower; look-alikes; NFKD without marks."""
     t = _TAGS.sub(" ", _BLOCKS.sub(" ", text or ""))
-    t = unicodedata.normalize("NFKD", t.lower().translate(HOMOGLYPHS))
-    return "".join(c for c in t if not unicodedata.combining(c) and (c == "'" or (c.isalnum() and not c.isdigit() and not c.isdecimal())))
+    return "".join(c for c in unicodedata.normalize("NFKD", t.lower().translate(HOMOGLYPHS)) if not unicodedata.combining(c))
+
+
+def normalized_chars(text: str | None) -> str:
+    """The folded text's letters and apostrophes only."""
+    return "".join(c for c in folded_text(text) if c == "'" or (c.isalnum() and not c.isdecimal()))
 
 
 def similarity(a: str, b: str) -> float:
