@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.operators import rollups, text
+from lectern.operators.graphs import components
 
 #: Letters of a probe, and leading letters that editions of one group share.
 PROBE, BLOCK = 200, 4
@@ -55,35 +56,9 @@ def closest(scores: DataFrame) -> DataFrame:
     return best.select("doc_id", "m.partner", (-F.col("m.k")).alias("score")).withColumn("tier", rollups.score_tier(F.col("score")))
 
 
-def clusters(scores: DataFrame, least: float, rounds: int = 50) -> DataFrame:
-    """G1: connected components of pairs at or above ``least``: (doc_id, cluster), the cluster its least id.
-
-    Minimum labels are passed on and shortened until none changes; every round cuts its lineage in
-    the shared checkpoint folder where the session names one.
-    """
-    edges = scores.where(F.col("score") >= least).select("a", "b")
-    both = edges.union(edges.select("b", "a")).distinct().persist()
-    labels = both.select(F.col("a").alias("doc_id"), F.col("a").alias("cluster")).distinct()
-    for _ in range(rounds):
-        near = both.join(labels, F.col("b") == F.col("doc_id")).groupBy("a").agg(F.min("cluster").alias("m"))
-        new = labels.join(near, F.col("doc_id") == F.col("a")).select("doc_id", F.least("cluster", "m").alias("cluster"), (F.col("m") < F.col("cluster")).alias("changed"))
-        new = _cut(new)
-        labels = new.select("doc_id", "cluster")
-        if new.where("changed").isEmpty():
-            break
-    return labels
-
-
-def _cut(df: DataFrame) -> DataFrame:
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not spark.sparkContext.getCheckpointDir():
-        if not folder:
-            import tempfile
-
-            folder = tempfile.mkdtemp(prefix="lectern-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+def clusters(scores: DataFrame, least: float) -> DataFrame:
+    """G1: connected components of pairs at or above ``least``: (doc_id, cluster), the cluster its least id."""
+    return components(scores.where(F.col("score") >= least)).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
 
 
 #: Bounds of the diagnosis.

@@ -62,11 +62,12 @@ def map_refs(refs: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def crosswalk(refs: DataFrame, rules: DataFrame) -> DataFrame:
-    """Book rules (book, to, chapter_offset, only_chapter, to_chapter; ``to`` null drops the book)."""
+    """Book rules (book, to, chapter_offset, only_chapter, to_chapter; ``to`` null drops the book); a rule for one chapter leaves the others."""
     r = refs.join(rules.select(F.col("book").alias("__b"), "to", "chapter_offset", "only_chapter", "to_chapter"), F.col("book") == F.col("__b"), "left")
-    out = r.where((F.col("__b").isNull() | F.col("to").isNotNull()) & (F.col("only_chapter").isNull() | (F.col("only_chapter") == F.col("chapter"))))
-    chapter = F.coalesce(F.col("to_chapter"), F.col("chapter") + F.coalesce("chapter_offset", F.lit(0)))
-    return out.select(*[c for c in refs.columns if c not in ("book", "chapter")], F.coalesce("to", "book").alias("book"), chapter.alias("chapter"))
+    out = r.where(F.col("__b").isNull() | F.col("to").isNotNull())
+    ruled = F.col("to").isNotNull() & (F.col("only_chapter").isNull() | (F.col("only_chapter") == F.col("chapter")))
+    chapter = F.when(ruled, F.coalesce(F.col("to_chapter"), F.col("chapter") + F.coalesce("chapter_offset", F.lit(0)))).otherwise(F.col("chapter"))
+    return out.select(*[c for c in refs.columns if c not in ("book", "chapter")], F.when(ruled, F.col("to")).otherwise(F.col("book")).alias("book"), chapter.alias("chapter"))
 
 
 def classify_scheme(ps117: Column, ps151: Column, ps51: Column, mal: Column, mal4: Column, sa17: Column, ki4: Column, hag1: Column, byzantine: Column) -> Column:

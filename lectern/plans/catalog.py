@@ -61,3 +61,4 @@ def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 from lectern.plans import catalog_rollups, catalog_texts  # noqa: E402,F401  they register their queries
 from lectern.plans import catalog_streams  # noqa: E402,F401
 from lectern.plans import catalog_verdicts  # noqa: E402,F401
+from lectern.plans import catalog_maps  # noqa: E402,F401
