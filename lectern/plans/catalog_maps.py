@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import graphs, maps, usfm
+from lectern.operators import chapters, graphs, maps, records, usfm, verses
 from lectern.plans.catalog import query
 from lectern.session import table
 
@@ -125,3 +125,46 @@ def converted_osis(spark, sf_dir):
     osis = F.when(F.col("role") == "user", F.concat(F.lit('<transChange type="added">'), F.col("role"), F.lit("</transChange>"))).otherwise(F.concat(F.col("role"), F.lit("<note>n</note>")))
     verses = table(spark, sf_dir, "conversations").select("conv_id", F.lit(1).alias("chapter"), (F.col("turn") + 1).alias("verse"), osis.alias("osis"))
     return usfm.converted_osis(verses, ["conv_id"])
+
+
+@query("chapter_books", "SELECT conv_id, '1' AS chapter, CAST(turn + 1 AS VARCHAR) AS verse, 'turn ' || turn || ' of ' || role AS text FROM conversations")
+def chapter_books(spark, sf_dir):
+    """Chapters of the API as books, read back verse by verse."""
+    item = F.struct(F.lit("verse").alias("type"), (F.col("turn") + 1).alias("number"), F.array(F.concat(F.lit("turn "), F.col("turn").cast("string")), F.concat(F.lit("of "), F.col("role"))).alias("content"))
+    content = F.transform(F.sort_array(F.collect_list(F.struct("turn", item.alias("i")))), lambda x: x["i"])
+    raw = F.to_json(F.struct(F.struct(F.lit(1).alias("number"), content.alias("content")).alias("chapter")))
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(raw.alias("raw")).select("conv_id", F.lit("PSA").alias("book"), F.lit(1).alias("chapter"), "raw")
+    books = chapters.book_table(rows, ["conv_id"], "book", "chapter", "raw")
+    return verses.verse_table(books, ["conv_id"], "usj", "usj").select("conv_id", "chapter", "verse", "text")
+
+
+@query(
+    "audio_items",
+    """SELECT event_id, CASE WHEN event_id % 3 = 0 THEN upper(left(event_type, 3)) ELSE 'ABC' END AS book, CAST(CASE WHEN event_id % 3 = 0 THEN user_id % 50 + 1 ELSE event_id % 7 + 1 END AS INTEGER) AS chapter,
+  CASE event_id % 4 WHEN 0 THEN 'ENGESVN1DA' WHEN 1 THEN 'DAMDAMDAMX' WHEN 2 THEN 'ABCDEFO2DA' END AS fileset,
+  'https://a.b/' || replace(event_type, '_', '%20') || '/' || user_id || '%20(x).mp3' AS url FROM events""",
+)
+def audio_items(spark, sf_dir):
+    """The fileset, book, chapter and address of audio items."""
+    e, k = table(spark, sf_dir, "events"), F.col("event_id")
+    name = F.when(k % 4 == 0, "B01_N1ENGESV.mp3").when(k % 4 == 1, "x.mp3").when(k % 4 == 2, "B01_ABCDEFO2DA.mp3").otherwise("y.ogg")
+    dam = F.when(k % 4 == 1, "DAMDAMDAMX")
+    timing = F.concat(F.lit("C-abc-"), (k % 7 + 1).cast("string"), F.lit("-timing.txt"))
+    placed = records.book_and_chapter(k % 3 == 0, timing, F.substring("event_type", 1, 3), F.col("user_id") % 50 + 1)
+    url = F.concat(F.lit("https://a.b/"), F.replace("event_type", F.lit("_"), F.lit(" ")), F.lit("/"), F.col("user_id").cast("string"), F.lit(" (x).mp3"))
+    quoted = F.replace(F.replace(records.audio_url(F.lit(False), url, F.lit(None).cast("string"), name, F.lit("d/")), F.lit("%28"), F.lit("(")), F.lit("%29"), F.lit(")"))
+    return e.select("event_id", placed["book"].alias("book"), placed["chapter"].alias("chapter"), records.audio_fileset(name, dam).alias("fileset"), quoted.alias("url"))
+
+
+@query(
+    "story_index",
+    """SELECT n_name AS iso, concat(CASE WHEN n_nationkey IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 3000) THEN 'at' ELSE 't' END, CASE WHEN n_nationkey IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) THEN 'v' ELSE '' END) AS media, CASE WHEN n > 1 THEN n END AS n
+FROM (SELECT c_nationkey AS n_nationkey, count(*) FILTER (c_custkey % 100 = 7) AS n FROM customer GROUP BY 1) JOIN nation USING (n_nationkey)""",
+)
+def story_index(spark, sf_dir):
+    """Media letters of languages read through a table of codes."""
+    c, s, n = (table(spark, sf_dir, t) for t in ("customer", "supplier", "nation"))
+    codes = n.select(F.col("n_nationkey").cast("string").alias("code"), F.col("n_name").alias("to"))
+    languages = c.groupBy(F.col("c_nationkey").cast("string").alias("iso")).agg(F.count_if(F.col("c_custkey") % 100 == 7).alias("n"))
+    iso = lambda df, k, bal, least: df.where(F.col(bal) > least).select(F.col(k).cast("string").alias("iso"))
+    return records.story_index(languages, iso(s, "s_nationkey", "s_acctbal", 3000), iso(c, "c_nationkey", "c_acctbal", 9900), codes)
