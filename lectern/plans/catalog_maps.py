@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import chapters, graphs, maps, records, usfm, verses
+from lectern.operators import archive, chapters, graphs, maps, records, usfm, verses
 from lectern.plans.catalog import query
 from lectern.session import table
 
@@ -168,3 +168,10 @@ def story_index(spark, sf_dir):
     languages = c.groupBy(F.col("c_nationkey").cast("string").alias("iso")).agg(F.count_if(F.col("c_custkey") % 100 == 7).alias("n"))
     iso = lambda df, k, bal, least: df.where(F.col(bal) > least).select(F.col(k).cast("string").alias("iso"))
     return records.story_index(languages, iso(s, "s_nationkey", "s_acctbal", 3000), iso(c, "c_nationkey", "c_acctbal", 9900), codes)
+
+
+@query("archive_round_trip", "SELECT conv_id, CAST(turn // 10 + 1 AS INTEGER) AS chapter, CAST(turn % 10 + 1 AS VARCHAR) AS verse, trim(regexp_replace(text, '[\\t\\n\\v\\f\\r ]+', ' ', 'g')) AS text FROM conversations WHERE trim(regexp_replace(text, '[\\t\\n\\v\\f\\r ]+', ' ', 'g')) <> ''")
+def archive_round_trip(spark, sf_dir):
+    """Texts written as succinct archives and read back."""
+    c = table(spark, sf_dir, "conversations").select("conv_id", F.lit("eng").alias("lang"), F.lit("X").alias("abbr"), (F.floor(F.col("turn") / 10) + 1).alias("chapter"), F.col("turn").alias("ord"), (F.col("turn") % 10 + 1).cast("string").alias("verse"), "text")
+    return archive.archive_verses(archive.archives(c, ["conv_id"], "lang", "abbr"), ["conv_id"]).select("conv_id", "chapter", "verse", "text")
