@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import archive, chapters, graphs, maps, records, usfm, verses
+from lectern.operators import archive, candidates, chapters, graphs, maps, records, usfm, verses
 from lectern.plans.catalog import query
 from lectern.session import table
 
@@ -175,3 +175,24 @@ def archive_round_trip(spark, sf_dir):
     """Texts written as succinct archives and read back."""
     c = table(spark, sf_dir, "conversations").select("conv_id", F.lit("eng").alias("lang"), F.lit("X").alias("abbr"), (F.floor(F.col("turn") / 10) + 1).alias("chapter"), F.col("turn").alias("ord"), (F.col("turn") % 10 + 1).cast("string").alias("verse"), "text")
     return archive.archive_verses(archive.archives(c, ["conv_id"], "lang", "abbr"), ["conv_id"]).select("conv_id", "chapter", "verse", "text")
+
+
+@query(
+    "sync_candidates",
+    """WITH g AS (SELECT p_brand AS iso, p_type AS abbr, 'P' || p_size AS base, CASE p_partkey % 4 WHEN 0 THEN '1DA' WHEN 1 THEN '2DA' WHEN 2 THEN '1SA' ELSE '2SA' END AS kind, p_partkey % 4 AS tier, bool_or(p_partkey % 11 = 0) AS timed FROM part GROUP BY ALL),
+b AS (SELECT *, min(tier) FILTER (NOT timed) OVER w AS best, min(tier) FILTER (timed) OVER w AS done, bool_or(timed) OVER w AS better FROM g WINDOW w AS (PARTITION BY iso, abbr, base))
+SELECT iso, canon, abbr, base || kind AS audio, abbr || ' text' AS text, better FROM b, (VALUES ('nt'), ('ot')) c(canon) WHERE NOT timed AND tier = best AND (done IS NULL OR done > best)""",
+)
+def sync_candidates(spark, sf_dir):
+    """Recordings to align next."""
+    k = F.col("p_partkey") % 4
+    ident = F.concat(F.lit("P"), F.col("p_size").cast("string"), F.when(k == 0, "1DA").when(k == 1, "2DA").when(k == 2, "1SA").otherwise("2SA"))
+    row = lambda i, t: [F.col("p_brand").alias("iso"), F.col("p_type").alias("abbr"), F.lit("PARTIAL").alias("canon"), F.lit("C").alias("size"), i.alias("id"), F.lit(t).alias("type")]
+    p = table(spark, sf_dir, "part")
+    encoded = F.concat(ident, F.lit("-opus16"))
+    texts = p.select(*row(F.concat("p_type", F.lit(" text")), "text_plain")).union(p.select(*row(F.concat("p_type", F.lit(" a text")), "text_usx"))).distinct()
+    timed = p.where("p_partkey % 11 = 0").select(F.concat_ws(" ", "p_brand").alias("iso"), ident.alias("id"), "p_type")
+    audio = p.select(*row(ident, "audio")).union(p.select(*row(encoded, "audio")))
+    marked = lambda df: df.withColumn("iso", F.concat_ws("/", "iso", "abbr"))  # noqa: E731  timing is known by language and id
+    out = candidates.sync_candidates(marked(audio.union(texts)), timed.select(F.concat_ws("/", "iso", "p_type").alias("iso"), "id"))
+    return out.withColumn("iso", F.substring_index("iso", "/", 1))
