@@ -1,4 +1,4 @@
-"""Verse maps between numbering schemes.
+"""Verse maps between numbering schemes.
 
 References are strings ``BOOK C:V``; V is a number, a number with a letter, or ``title``.  A shape is
 a table (book, chapter, last), a map a table (s, t).  Rows with a null in what they are read by are
