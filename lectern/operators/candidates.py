@@ -35,17 +35,20 @@ def _base(c: Column) -> Column:
     return F.when(F.length(c) >= 3, c.substr(F.lit(1), F.length(c) - 3)).otherwise(c)
 
 
-def untimed_best(recordings: DataFrame, by: list[str]) -> DataFrame:
+def untimed_best(recordings: DataFrame, by: list[str], unranked: bool = False) -> DataFrame:
     """W2, of rows (by, id, timed): the untimed recordings to align next, with ``better``: a worse one is timed already.
 
     Of a base the best tier counts, unless a timed one is as good; where no untimed one has a tier, all
-    stay if nothing of the base is timed.
+    stay if nothing of the base is timed.  With ``unranked`` (W1) ids without a tier also stay beside ranked ones.
     """
     tier = F.when(F.length("id") >= 3, _chosen(F.substring("id", -3, 3), TIERS))
+    w = Window.partitionBy(*by, "__base")
+    least = lambda kept: F.min(F.when(kept, F.col("tier"))).over(w)
     rows = recordings.select(*by, "id", "timed", tier.alias("tier"), _base(F.col("id")).alias("__base"))
-    rows = rows.withColumn("better", F.bool_or("timed").over(Window.partitionBy(*by, "__base")))
-    best = rollups.best_tier(rows, [*by, "__base"], "tier", "timed")
-    return best.where("tier IS NOT NULL OR NOT better").select(*by, "id", "better")
+    rows = rows.withColumns({"__best": least(~F.col("timed")), "__done": least(F.col("timed")), "better": F.bool_or("timed").over(w)})
+    ranked = (F.col("tier") == F.col("__best")) & F.coalesce(F.col("__done") > F.col("__best"), F.lit(True))
+    other = F.col("tier").isNull() & F.when(F.col("__best").isNull(), ~F.col("better")).otherwise(F.lit(unranked))
+    return rows.where(~F.col("timed") & (F.coalesce(ranked, F.lit(False)) | other)).select(*by, "id", "better")
 
 
 def sync_candidates(filesets: DataFrame, timed: DataFrame) -> DataFrame:
@@ -67,6 +70,6 @@ def sync_candidates(filesets: DataFrame, timed: DataFrame) -> DataFrame:
 
 def syncable_pairs(audio: DataFrame, texts: DataFrame) -> DataFrame:
     """(iso, audio, text) of audio (iso, id, timed) and texts (iso, id, pos); of the texts an audio matches the first counts."""
-    best = untimed_best(audio, ["iso"]).select("iso", F.col("id").alias("audio"))
+    best = untimed_best(audio, ["iso"], unranked=True).select("iso", F.col("id").alias("audio"))
     found = joins.prefix_join(texts.select(F.col("iso").alias("__iso"), F.col("id").alias("text"), "pos"), best, "text", "audio")
     return found.where("iso = __iso").groupBy("iso", "audio").agg(F.min_by("text", F.struct("pos", "text")).alias("text"))

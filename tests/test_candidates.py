@@ -15,6 +15,8 @@ def test_untimed_best(spark):
         ("d", "DDDNXYZ", False), ("d", "DDDNXYQ", False), ("e", "EEENXYZ", False), ("e", "EEENQQQ", True), ("f", "x", False),
     ]
     got = candidates.untimed_best(spark.createDataFrame(rows, "iso string, id string, timed boolean"), ["iso"])
+    more = candidates.untimed_best(spark.createDataFrame([*rows, ("a", "AAANXYZ", False), ("b", "BBBNXYZ", False)], "iso string, id string, timed boolean"), ["iso"], unranked=True)
+    assert [r for r in _rows(more, "iso", "id") if r not in _rows(got, "iso", "id")] == [("a", "AAANXYZ"), ("b", "BBBNXYZ")]
     assert _rows(got, "iso", "id", "better") == [("a", "AAAN1DA", False), ("c", "CCCN1DA", True), ("d", "DDDNXYQ", False), ("d", "DDDNXYZ", False), ("f", "x", False)]
 
 
