@@ -139,6 +139,13 @@ def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "text", "n_sentences", "n_removed")
 
 
+@query("op9_passage_spans")
+def op9_passage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op9_sentence_spans, whose SQL is fixed to runs of three, with shorter runs of over 50 words as well."""
+    cut = sentence_spans.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), run=3, words=51)
+    return cut.select("doc_id", "text", "n_sentences", "n_removed")
+
+
 @query("op2_license_scan")
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.best_license(licenses.scan(table(spark, sf_dir, "documents")))

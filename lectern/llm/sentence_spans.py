@@ -3,8 +3,10 @@
 A text is cut into sentences, each ending with its stops or line end.  Every run of several
 consecutive sentences is hashed, all runs of the corpus are joined on their hashes, and a sentence
 goes where a run that covers it stands elsewhere before: in a document of smaller doc_id, or
-earlier in the same one.  Runs are compared without regard to the white space around and within
-sentences; sentences without any other character belong to the text but to no run.
+earlier in the same one.  With a bound by words, shorter runs that hold as many words count too, so
+that passages of few long sentences and texts without stops are seen.  Runs are compared without
+regard to the white space around and within sentences; sentences without any other character belong
+to the text but to no run.
 """
 
 from __future__ import annotations
@@ -33,10 +35,14 @@ def sentences(text: str | None) -> tuple[list[str], list[int]]:
     return found, [k for k, s in enumerate(found) if s.strip(BLANK)]
 
 
-def span_hashes(text: str | None, run: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``run`` consecutive sentences that have a word."""
+def _sentence_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each sentence that has a word, and its number of words (parts between white space)."""
     found, own = sentences(text)
-    h = np.array([xxhash.xxh3_64_intdigest(b" ".join(found[k].encode("utf-8", "surrogatepass").split())) for k in own], np.uint64)
+    parts = [found[k].encode("utf-8", "surrogatepass").split() for k in own]
+    return np.array([xxhash.xxh3_64_intdigest(b" ".join(p)) for p in parts], np.uint64), np.array([len(p) for p in parts], np.int64)
+
+
+def _run_hashes(h: np.ndarray, run: int) -> np.ndarray:
     m = len(h) - run + 1
     if m <= 0:
         return np.empty(0, np.int64)
@@ -47,41 +53,67 @@ def span_hashes(text: str | None, run: int) -> np.ndarray:
     return x.view(np.int64)
 
 
-def repeated_spans(docs: DataFrame, run: int = 3) -> DataFrame:
-    """(doc_id, text_hash, starts): where runs begin that stand elsewhere before.
+def span_hashes(text: str | None, run: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``run`` consecutive sentences that have a word."""
+    return _run_hashes(_sentence_hashes(text)[0], run)
+
+
+def spans_of(text: str | None, run: int, words: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(places, hashes) of the runs of ``run`` sentences, and of all shorter ones of ``words`` words or more.
 
-    A document is a doc_id and a text; rows that repeat both are one document.  ``starts`` counts
+    A place is ``run`` times the run's first sentence plus the number of those that follow it in the run.
+    """
+    h, n = _sentence_hashes(text)
+    places, hashes = [], []
+    for size in range(1 if words is not None else run, run + 1):
+        x = _run_hashes(h, size)
+        at = np.arange(len(x))
+        if size < run and len(x):
+            long = np.convolve(n, np.ones(size, np.int64), "valid") >= words
+            at, x = at[long], x[long]
+        places.append(at * run + size - 1)
+        hashes.append(x)
+    return np.concatenate(places), np.concatenate(hashes)
+
+
+def repeated_spans(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
+    """(doc_id, text_hash, starts): the places (see ``spans_of``) of runs that stand elsewhere before.
+
+    A document is a doc_id and a text; rows that repeat both are one document.  Places count
     sentences that have a word.  The first place of a run is that of the least (doc_id, text hash,
-    position); the places of a run meet only as partial minima and in a join that can be split.
+    place); the places of a run meet only as partial minima and in a join that can be split.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            spans = [span_hashes(t, run) for t in part.column(2).to_pylist()]
-            ends = np.cumsum([0, *map(len, spans)]).astype(np.int32)
-            flat = np.concatenate(spans) if spans else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "text_hash", "spans"])
+            found = [spans_of(t, run, words) for t in part.column(2).to_pylist()]
+            ends = pa.array(np.cumsum([0, *(len(x) for x, _ in found)]).astype(np.int32))
+            places, spans = (np.concatenate([x[k] for x in found]) if found else np.empty(0, np.int64) for k in (0, 1))
+            each = pa.StructArray.from_arrays([pa.array(places.astype(np.int32)), pa.array(spans)], names=["pos", "span"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(ends, each)], names=["doc_id", "text_hash", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, spans array<bigint>"), "spans")
-    each = spans.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("doc"), F.posexplode("spans").alias("pos", "span"))
+    spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, spans array<struct<pos:int,span:bigint>>"), "spans")
+    each = spans.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("doc"), F.inline("spans"))
     each = each.select("span", F.struct("doc.*", "pos").alias("place"))
     first = each.groupBy("span").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").select("span", "first")
     later = each.join(first, "span").where("place != first")
     return later.groupBy("place.doc_id", "place.text_hash").agg(F.collect_set("place.pos").alias("starts"))
 
 
-def cut_repeats(docs: DataFrame, run: int = 3) -> DataFrame:
+def cut_repeats(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without sentences that repeat in runs.
 
+    A run has ``run`` sentences or, where ``words`` is given, fewer with at least so many words.
+
     Adds n_sentences (those with a word), n_removed and removed (their spans, as an array of start
     and end in code points of the former text, neighbours joined) and replaces text by what is left
-    of it, character for character.  Null and empty texts, and those of fewer than ``run``
-    sentences, stay as they are.  Rows with a null doc_id come after all others.  An empty table
+    of it, character for character.  Null and empty texts, and those without a
+    run, stay as they are.  Rows with a null doc_id come after all others.  An empty table
     gives no rows.
     """
-    starts = repeated_spans(docs, run).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
+    starts = repeated_spans(docs, run, words).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
     named = docs.withColumn("__own", F.xxhash64("text"))
     joined = named.join(starts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left").drop("__id", "__hash", "__own")
     extra = "n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>"
@@ -95,7 +127,7 @@ def cut_repeats(docs: DataFrame, run: int = 3) -> DataFrame:
             texts, counts, removed, spans = [], [], [], []
             for text, begun in zip(part.column(at).to_pylist(), part.column(len(keep)).to_pylist(), strict=True):
                 found, own = sentences(text)
-                gone = {own[p + k] for p in begun or () for k in range(run)}
+                gone = {own[p // run + k] for p in begun or () for k in range(p % run + 1)}
                 counts.append(len(own))
                 removed.append(len(gone))
                 spans.append(_joined(found, gone))

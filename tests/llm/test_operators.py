@@ -407,6 +407,36 @@ def test_sentence_spans_edges(make):
     assert sentence_spans.cut_repeats(make([])).count() == 0
 
 
+def _cut_by_words(rows, run, words):
+    split = {k: sentence_spans.SENTENCE.findall(t or "") for k, t in rows}
+    seen, out = set(), {}
+    for k, _ in sorted(rows):
+        own = [j for j, s in enumerate(split[k]) if s.strip()]
+        gone = set()
+        for p in range(len(own)):
+            for size in range(1, min(run, len(own) - p) + 1):
+                span = tuple(" ".join(split[k][j].split()) for j in own[p : p + size])
+                if size < run and sum(len(s.split()) for s in span) < words:
+                    continue
+                if span in seen:
+                    gone |= set(own[p : p + size])
+                seen.add(span)
+        out[k] = "".join(s for j, s in enumerate(split[k]) if j not in gone)
+    return out
+
+
+def test_short_runs_of_many_words(make):
+    rng = random.Random(11)
+    say = lambda a, n: " ".join(f"{a}{k}" for k in range(n))
+    two, one, flat, short = f"{say('p', 30)}. {say('q', 25)}.", f"{say('r', 51)}.", say("s", 60), f"{say('t', 50)}."
+    rows = [(1, f"Begin. {two} Middle one. {one} End."), (2, f"Other. {two} Rest."), (3, f"{one} After it."), (4, flat), (5, flat), (6, short), (7, f"Then. {short}")]
+    pool = [f"{say(a, rng.randrange(3, 40))}." for a in "abcdefgh"]
+    rows += [(k, " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 6)))) for k in range(20, 80)]
+    got = {r.doc_id: r.text for r in sentence_spans.cut_repeats(make(rows), run=3, words=51).collect()}
+    assert got == _cut_by_words(rows, 3, 51)
+    assert got[1] == rows[0][1] and got[2] == "Other. Rest." and got[3] == " After it." and got[5] == "" and got[7] == rows[6][1]
+
+
 # --- exact dedup
 
 
