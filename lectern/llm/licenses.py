@@ -2,8 +2,10 @@
 
 A text is aligned with a license template by anchors: words that are unique both to the text and to
 the template, of which the longest increasing subsequence is kept.  The gaps between anchors, ends
-included, are aligned in the same way, after what their ends have in common.  The share of the
-template's words that find a place close together in the text is its coverage.
+included, are aligned in the same way, after what their ends have in common; a gap without anchors is
+aligned by a longest common subsequence.  Texts are aligned by windows that begin at a word of the
+template, so that a notice is found as often as it stands there.  The share of the template's words
+that find a place close together in the text is its coverage.
 """
 
 from __future__ import annotations
@@ -88,9 +90,15 @@ def align(a: list[str], b: list[str]) -> list[tuple[int, int]]:
         own = _unique(b, j, m, set(b[j:m]))
         there = _unique(a, i, k, set(own))
         both = sorted((p, own[w]) for w, p in there.items())
-        anchors = [both[x] for x in increasing([q for _, q in both])]
-        if not anchors:
+        if not both:
+            # No word is unique to both: patience over all pairs of equal words, the later of ``b`` first.
+            places: dict[str, list[int]] = {}
+            for q in range(m - 1, j - 1, -1):
+                places.setdefault(b[q], []).append(q)
+            every = [(p, q) for p in range(i, k) for q in places.get(a[p], ())]
+            pairs += [every[x] for x in increasing([q for _, q in every])]
             continue
+        anchors = [both[x] for x in increasing([q for _, q in both])]
         pairs += anchors
         edges = [(i - 1, j - 1), *anchors, (k, m)]
         todo += [(p + 1, r, q + 1, s) for (p, q), (r, s) in zip(edges[:-1], edges[1:], strict=True)]
@@ -107,7 +115,10 @@ class Scanner:
         self.wanted = frozenset(w for t in self.templates.values() for w in t)
 
     def __call__(self, text: str | None) -> list[tuple[str, float, int, int]]:
-        """(template, coverage, start, end) of all that are covered, in words of the text; best first."""
+        """(template, coverage, start, end) of all places that are covered, in words of the text; best first.
+
+        Places of one template do not overlap.
+        """
         words = words_of(text or "")
         have = Counter(filter(self.wanted.__contains__, words))
         found = []
@@ -116,22 +127,55 @@ class Scanner:
             # No alignment matches more words than both have in common.
             if sum(min(n, have[w]) for w, n in self.counts[name].items()) < need:
                 continue
-            hits = [i for i, _ in align(words, template)]
-            reach, best, lo = int(self.stretch * len(template)), (0, 0, 0), 0
-            for hi, i in enumerate(hits):
-                while i - hits[lo] >= reach:
-                    lo += 1
-                best = max(best, (hi - lo + 1, -hits[lo], -i))
-            if best[0] >= need:
-                found.append((name, best[0] / len(template), -best[1], 1 - best[2]))
-        return sorted(found, key=lambda x: (-x[1], -len(self.templates[x[0]]), x[0]))
+            found += [(name, n / len(template), start, end) for n, start, end in self._places(words, name, need)]
+        return sorted(found, key=lambda x: (-x[1], -len(self.templates[x[0]]), x[0], x[2]))
+
+    def _dense(self, words: list[str], name: str, need: float, reach: int) -> list[int]:
+        """Template words of the text from which ``reach`` words hold ``need`` in common with the template."""
+        counts = self.counts[name]
+        at = [k for k, w in enumerate(words) if w in counts]
+        own: Counter[str] = Counter()
+        common, hi, dense = 0, 0, []
+        for i in at:
+            while hi < len(at) and at[hi] < i + reach:
+                w = words[at[hi]]
+                common += own[w] < counts[w]
+                own[w] += 1
+                hi += 1
+            if common >= need:
+                dense.append(i)
+            own[words[i]] -= 1
+            common -= own[words[i]] < counts[words[i]]
+        return dense
+
+    def _places(self, words: list[str], name: str, need: float) -> list[tuple[int, int, int]]:
+        """(matched words, start, end) of the places of a template that do not overlap, best first."""
+        template = self.templates[name]
+        size, reach = len(template), max(1, int(self.stretch * len(template)))
+        seen = set()
+        for i in self._dense(words, name, need, reach):
+            # The short window keeps a neighbouring copy out, the long one lets words be put in.
+            for width in {min(size, reach), min(size + size // 4, reach), reach}:
+                hits = [p for p, _ in align(words[i : i + width], template)]
+                if hits and len(hits) >= need:
+                    seen.add((-len(hits), hits[-1] - hits[0], i + hits[0], i + hits[-1] + 1))
+        chosen: list[tuple[int, int, int]] = []
+        starts: list[int] = []
+        ends: list[int] = []
+        for n, _, start, end in sorted(seen):
+            k = bisect_left(starts, end)
+            if k == 0 or ends[k - 1] <= start:
+                starts.insert(k, start)
+                ends.insert(k, end)
+                chosen.append((-n, start, end))
+        return chosen
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = 0.8, stretch: float = 2.0) -> DataFrame:
     """(doc_id, hits) of every whole text of ``docs`` (doc_id, text; other columns are not read).
 
-    ``hits`` are the templates covered, best first: by coverage, then the longer template, then the
-    name; start and end count words of the text.  Null and empty texts have none; rows are kept as
+    ``hits`` are the templates covered, each as often as it stands there, best first: by coverage, then
+    the longer template, then the name, then the start; start and end count words of the text.  Null and empty texts have none; rows are kept as
     they are, repeated and null ids too; an empty table gives no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -145,6 +189,6 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
 
 
 def best_license(scanned: DataFrame) -> DataFrame:
-    """doc_id, license (null: none), coverage, start, end and the number of hits."""
+    """doc_id, license (null: none), coverage, start, end of the best hit, the number of hits and all hits."""
     best = F.get("hits", F.lit(0))
-    return scanned.select("doc_id", best["license"].alias("license"), best["coverage"].alias("coverage"), best["start"].alias("start"), best["end"].alias("end"), F.size("hits").alias("n_hits"))
+    return scanned.select("doc_id", best["license"].alias("license"), best["coverage"].alias("coverage"), best["start"].alias("start"), best["end"].alias("end"), F.size("hits").alias("n_hits"), "hits")

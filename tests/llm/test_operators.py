@@ -75,6 +75,21 @@ def test_license_found_and_missed(make):
     assert got[None].license == "MIT" and got[6].license == "MIT-permission"
 
 
+def test_license_repeated_and_all_hits(make):
+    t = licenses.TEMPLATES
+    gpl, mit, n = t["GPL-3.0"], t["MIT-permission"], len(licenses.words_of(t["GPL-3.0"]))
+    filler = " ".join(f"word{k} the public license" for k in range(100))
+    rows = [(1, f"{filler} {gpl} {filler} {gpl} {filler}"), (2, f"{gpl} {gpl} {gpl}"), (3, f"{mit}\n{filler}\n{gpl}\n{mit}")]
+    rows += [(4, " ".join(gpl.replace("This work", x).replace("General", y) for x, y in (("A book", "General"), ("It", "General"), ("This work", "Genral"))))]
+    got = {r.doc_id: r for r in licenses.best_license(licenses.scan(make(rows))).collect()}
+    spans = lambda k, name: sorted((h.start, h.end, h.coverage) for h in got[k].hits if h.license == name)
+    assert spans(1, "GPL-3.0") == [(400, 400 + n, 1.0), (800 + n, 800 + 2 * n, 1.0)]
+    assert spans(2, "GPL-3.0") == [(k * n, (k + 1) * n, 1.0) for k in range(3)]
+    assert len(spans(3, "MIT-permission")) == 2 and len(spans(3, "GPL-3.0")) == 1 and got[3].n_hits == 3
+    assert len(spans(4, "GPL-3.0")) == 3
+    assert got[1].license == "GPL-3.0" and got[1].start == 400 and got[1].n_hits == len(got[1].hits)
+
+
 def _lis(values):
     best = [1] * len(values)
     for k in range(len(values)):
