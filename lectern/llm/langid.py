@@ -30,6 +30,8 @@ SAMPLE_DOCUMENTS = 4000
 NGRAMS = 6000
 #: An n-gram belongs to a language if at least this share of the language's documents hold it.
 LEAST_SHARE = 0.02
+#: N-grams of a language, counted once a document, that a task holds before it hands their counts on.
+FLUSH = 1 << 21
 #: Characters of one lookup; longer texts are counted in parts.
 PART = 1 << 16
 
@@ -124,11 +126,11 @@ def fit(labelled: DataFrame) -> LanguageFilters:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list] = {}
         number: dict[str, int] = {}
+        held: dict[str, int] = {}
 
         def flush(lang: str) -> pa.RecordBatch:
             h, n = np.unique(np.concatenate(seen.pop(lang)), return_counts=True)
-            often = n > 1 if len(h) > 200_000 else n > 0
-            h, n = h[often], n[often]
+            held.pop(lang)
             return pa.RecordBatch.from_arrays([pa.array([lang] * (len(h) + 1)), pa.array([None, *h.view(np.int64).tolist()], pa.int64()), pa.array([number.pop(lang), *n.tolist()], pa.int64())], names=["lang", "gram", "n"])
 
         for part in slices(batches):
@@ -137,7 +139,8 @@ def fit(labelled: DataFrame) -> LanguageFilters:
                     continue
                 seen.setdefault(lang, []).append(np.unique(np.concatenate([ngrams(text[at : at + PART]) for at in range(0, len(text), PART)])))
                 number[lang] = number.get(lang, 0) + 1
-                if len(seen[lang]) >= 1000:
+                held[lang] = held.get(lang, 0) + len(seen[lang][-1])
+                if held[lang] >= FLUSH:
                     yield flush(lang)
         for lang in list(seen):
             yield flush(lang)

@@ -380,6 +380,17 @@ def test_bit_sliced_filter_returns_all_languages():
         assert (mask >> np.uint64(bit % 64) & np.uint64(1)).all()
 
 
+def test_language_counts_without_cuts(spark, make, monkeypatch):
+    # One document of over 200000 different n-grams: all of them were thrown away.
+    rng = random.Random(4)
+    big = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(130_000))
+    assert len(set(langid.ngrams(big).tolist())) > 200_000
+    monkeypatch.setattr(langid, "FLUSH", 1000)  # counts are handed on in several pieces
+    model = langid.fit(make([(1, big, "zh"), (2, "an english text of some words", "en")]))
+    assert model.predict(big)[0] == "zh" and model.predict("some words of english")[0] == "en"
+    assert model.counts(big)[0][model.languages.index("zh")] > 0
+
+
 # --- sentence spans
 
 
