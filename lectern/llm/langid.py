@@ -185,15 +185,25 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, model).select("doc_id", (fold("doc_id") == 2).alias("held_out"), "lang_pred", "score")
 
 
+def recognised(model: LanguageFilters, text: str | None) -> bool:
+    """Whether a text has a letter and, if ``model`` has any language, an n-gram of one (a score above 0)."""
+    if not model.languages:
+        return bool(text and _LETTER.search(text))
+    return model.predict(text)[1] > 0
+
+
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """``docs`` with all its columns, without the rows in which no language is recognised ("und")."""
+    """``docs`` with all its columns, without the rows in which no language is ``recognised``.
+
+    Where no language can be learned, all texts with a letter stay.
+    """
     model = fit(docs.where(fold("doc_id") != 2))
     held = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches):
-            keep = [held.value.predict(t)[0] != "und" for t in part.column(at).to_pylist()]
+            keep = [recognised(held.value, t) for t in part.column(at).to_pylist()]
             yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.transform(in_arrow, run, docs.schema)

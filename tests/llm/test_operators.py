@@ -391,6 +391,14 @@ def test_language_counts_without_cuts(spark, make, monkeypatch):
     assert model.counts(big)[0][model.languages.index("zh")] > 0
 
 
+def test_keep_identified_bounds(make):
+    rows = [(k, "plain words of an english text", "en") for k in range(12)]
+    odd = [(20, "\u05d0\u05d1\u05d2\u05d3 \u05d4\u05d5\u05d6", None), (21, "12 !!", None), (22, None, None)]
+    ids = lambda x: {r.doc_id for r in langid.keep_identified(make(x)).collect()}
+    assert ids(rows + odd) == set(range(12))
+    assert ids([(k, t, None) for k, t, _ in rows] + odd) == {*range(12), 20}  # nothing can be learned
+
+
 # --- sentence spans
 
 
