@@ -118,12 +118,12 @@ def _identity(x: np.ndarray) -> tuple[int, int]:
 def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarray]:
     """Every row's set by name, and the common shingles.
 
-    The table has a row per document (doc_id, sid, check, size) and, with a null sid, rows of
+    The table has a row per document (doc_id, sid, check, size, hash of the text) and, with a null sid, rows of
     shingles that are common within some COUNTED ones and their counts there.
     """
     kind = "string" if docs.schema["doc_id"].dataType.simpleString() == "string" else "bigint"
-    schema = T.StructType.fromDDL(f"doc_id {kind}, sid bigint, chk bigint, size bigint, shingle bigint")
-    arrow = pa.schema([("doc_id", pa.string() if kind == "string" else pa.int64()), ("sid", pa.int64()), ("chk", pa.int64()), ("size", pa.int64()), ("shingle", pa.int64())])
+    schema = T.StructType.fromDDL(f"doc_id {kind}, sid bigint, chk bigint, size bigint, shingle bigint, text_hash bigint")
+    arrow = pa.schema([("doc_id", pa.string() if kind == "string" else pa.int64()), ("sid", pa.int64()), ("chk", pa.int64()), ("size", pa.int64()), ("shingle", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, held, count = Shingler(n, seed), [], 0
@@ -133,13 +133,13 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
             often = times > max(1.0, COMMON * count / 2)
             values, times = values[often], times[often]
             none = pa.nulls(len(values), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.nulls(len(values), arrow.field(0).type), none, none, pa.array(times, pa.int64()), pa.array(values, pa.int64())], schema=arrow)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(values), arrow.field(0).type), none, none, pa.array(times, pa.int64()), pa.array(values, pa.int64()), none], schema=arrow)
 
         for part in slices(batches):
             sets = shingler(part.column(1).to_pylist())
             names = [_identity(x) for x in sets]
             sizes = [len(x) for x in sets]
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sets), pa.int64())], schema=arrow)
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sets), pa.int64()), part.column(2)], schema=arrow)
             held += sets
             count += sum(sizes)
             if count > COUNTED:
@@ -148,8 +148,8 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
         if count:
             yield common()
 
-    table = written(docs.select("doc_id", "text").transform(in_arrow, run, schema), "signatures")
-    rows = table.where("sid IS NOT NULL").select("doc_id", "sid", "chk", "size")
+    table = written(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).transform(in_arrow, run, schema), "signatures")
+    rows = table.where("sid IS NOT NULL").select("doc_id", "sid", "chk", "size", "text_hash")
     total = rows.agg(F.sum("size")).first()[0] or 0
     often = table.where("sid IS NULL").groupBy("shingle").agg(F.sum("size").alias("n")).where(F.col("n") > max(1.0, COMMON * total))
     # At most 1 / COMMON rows: each stands for more than that share of the total.
@@ -445,6 +445,11 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Shingles are 62-bit hashes and sets are named by 64-bit ones; should two different sets ever
     get one name, that is noticed and all is done again with other seeds.
     """
+    return _classes(docs, n, percent).drop("text_hash")
+
+
+def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
+    """``near_classes`` with the hash of each row's text."""
     for seed in range(0, 50, 10):
         rows, common = _signatures(docs, n, seed)
         sets = written(rows.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("chk").alias("a"), F.max("chk").alias("b")), "sets")
@@ -477,14 +482,16 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     class_of = class_of.join(least, "label").select("sid", "component")
     named = sets.join(class_of, "sid", "left").select("sid", F.coalesce("component", "least").alias("component"))
     return rows.join(named, "sid", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"
     )
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with all its columns, one row of each class of near duplicates (the one of least doc_id).
 
-    Rows without words stay, and so do rows with a null doc_id.
+    Rows without words stay, and so do rows with a null doc_id.  Of rows that share a doc_id only those
+    go whose own text is near another's.
     """
-    gone = near_classes(docs, n, percent).where("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = _classes(docs, n, percent).where("doc_id != component_id").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
+    named = docs.withColumn("__hash", F.xxhash64("text"))
+    return named.join(gone, ["doc_id", "__hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

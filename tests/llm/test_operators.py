@@ -399,6 +399,12 @@ def test_keep_identified_bounds(make):
     assert ids([(k, t, None) for k, t, _ in rows] + odd) == {*range(12), 20}  # nothing can be learned
 
 
+def test_keep_one_of_shared_ids(make):
+    a, b = (" ".join(f"{x}{k}" for k in range(60)) for x in "ab")
+    kept = ngram_join.keep_one(make([(1, a), (2, a + " more"), (2, b), (3, b + " more"), (4, None)])).collect()
+    assert sorted((r.doc_id, r.text or "") for r in kept) == [(1, a), (2, b), (4, "")]
+
+
 # --- sentence spans
 
 
