@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -19,10 +20,13 @@ BATCH_ROWS = 1024
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Only where it is unset (tests on one machine) a temporary folder is taken and set.
+    Where it is unset a session of one machine (tests) takes and sets a temporary folder; on a
+    cluster, whose executors could not read that, this raises.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="lectern-")
         spark.conf.set("spark.checkpoint.dir", found)
     if not spark.sparkContext.getCheckpointDir():
@@ -35,12 +39,28 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    # What was shuffled for this table goes when it is written, not when the driver next collects garbage.
-    df.sparkSession.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared folder: cuts lineage, survives lost executors.
+
+    What was shuffled for the table goes when it is written, not when the driver next collects garbage.
+    """
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, before = new_path(spark, name), spark.conf.get(cleanup, None)
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(cleanup) if before is None else spark.conf.set(cleanup, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.written_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that ``written`` returned, when all that is read from them has itself been written."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.written_path)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

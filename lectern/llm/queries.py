@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lectern.llm import bpe, chat, exact_dedup, langid, licenses, ngram_join, packing, quality, sentence_spans, token_files
 from lectern.llm.tokens import default_path
@@ -103,47 +104,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
-@query(
-    "op9_sentence_spans",
-    r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-s AS (
-  SELECT doc_id, unnest(x) AS raw, unnest(range(1, len(x) + 1)) AS k
-  FROM (SELECT doc_id, regexp_extract_all(text, '[^.!?
-]*[.!?
-]+|[^.!?
-]+') AS x FROM d)
-), w AS (
-  SELECT doc_id, k, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS pos,
-         regexp_replace(trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[ 	-
-]+', ' ', 'g') AS txt
-  FROM s WHERE trim(raw, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''
-), r AS (
-  SELECT doc_id, pos, txt || chr(31) || lead(txt, 1) OVER o || chr(31) || lead(txt, 2) OVER o AS span FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY pos)
-), f AS (
-  SELECT doc_id, pos, row_number() OVER (PARTITION BY span ORDER BY doc_id, pos) AS nth FROM r WHERE span IS NOT NULL
-), gone AS (
-  SELECT DISTINCT doc_id, pos + unnest([0, 1, 2]) AS pos FROM f WHERE nth > 1
-), cut AS (
-  SELECT w.doc_id, w.k FROM w JOIN gone USING (doc_id, pos)
-), kept AS (
-  SELECT s.doc_id, string_agg(s.raw, '' ORDER BY s.k) AS text FROM s LEFT JOIN cut USING (doc_id, k) WHERE cut.k IS NULL GROUP BY s.doc_id
-)
-SELECT d.doc_id, coalesce(kept.text, '') AS text, coalesce(a.n, 0) AS n_sentences, coalesce(b.n, 0) AS n_removed
-FROM d LEFT JOIN kept USING (doc_id)
-LEFT JOIN (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id) a USING (doc_id)
-LEFT JOIN (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id) b USING (doc_id)""",
-)
+@query("op9_sentence_spans", sentence_spans.ORACLE_SQL)
 def op9_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = sentence_spans.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), run=3)
-    return cut.select("doc_id", "text", "n_sentences", "n_removed")
-
-
-@query("op9_passage_spans")
-def op9_passage_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """op9_sentence_spans, whose SQL is fixed to runs of three, with shorter runs of over 50 words as well."""
-    cut = sentence_spans.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), run=3, words=51)
-    return cut.select("doc_id", "text", "n_sentences", "n_removed")
+    cut = sentence_spans.cut_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "n_sentences", "n_removed")
 
 
 @query("op2_license_scan")

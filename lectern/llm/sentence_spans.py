@@ -1,16 +1,17 @@
 """Substring dedup by sliding sentence spans.
 
-A text is cut into sentences, each ending with its stops or line end.  Every run of several
-consecutive sentences is hashed, all runs of the corpus are joined on their hashes, and a sentence
-goes where a run that covers it stands elsewhere before: in a document of smaller doc_id, or
-earlier in the same one.  With a bound by words, shorter runs that hold as many words count too, so
-that passages of few long sentences and texts without stops are seen.  Runs are compared without
-regard to the white space around and within sentences; sentences without any other character belong
-to the text but to no run.
+A text is cut into sentences: they end with their stops, commas, colons, semicolons or line ends,
+and a longer stretch without any ends at words chosen by their content, so that a passage falls
+into the same sentences wherever it is pasted.  From every sentence the shortest run of several
+consecutive sentences that holds enough words is hashed, all runs of the corpus are joined on their
+hashes, and a sentence goes where a run that covers it stands elsewhere before: in a document of
+smaller doc_id, or earlier in the same one.  Runs are compared without regard to the white space
+around and within sentences; sentences without any other character belong to the text but to no run.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -20,100 +21,155 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import in_arrow, slices, written
+from lectern.llm.common import discard, in_arrow, slices, written
 
-#: A sentence: up to and with its stops or line ends; a text is the sum of its sentences.
-SENTENCE = re.compile(r"[^.!?\n]*[.!?\n]+|[^.!?\n]+")
+#: What ends a sentence, beside the line end: ASCII, full-width, Arabic and Indic signs.
+STOPS = ".!?,;:。！？，；：、؟،؛।"
+#: A sentence up to and with its stops or line ends; a text is the sum of these.
+SENTENCE = re.compile(rf"[^{STOPS}\n]*[{STOPS}\n]+|[^{STOPS}\n]+")
 #: White space within a sentence.
 BLANK = " \t\n\x0b\x0c\r"
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def sentences(text: str | None) -> tuple[list[str], list[int]]:
-    """All sentences of ``text``, and the places of those that have a word."""
-    found = SENTENCE.findall(text or "")
-    return found, [k for k, s in enumerate(found) if s.strip(BLANK)]
-
+#: Words after which a stretch is long enough to be ended by a word; such are one word in LONG.
+LONG = 8
+#: Sentences and words that a run holds at least.
+SENTENCES, WORDS = 3, 15
+#: Runs that make up more than this share of all are spread over tasks; there are at most 1 / HOT of them.
+HOT, SPREAD = 1 / 2000, 64
+
+_WORD = re.compile(rf"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
+_ODD = np.array([0x9E3779B97F4A7C17, 0xD6E8FEB86659FD93], np.uint64)
+
+
+def _is_end(word: bytes) -> bool:
+    """Whether a word ends a long stretch: the first hex digit of its MD5 is 0 or 1."""
+    return hashlib.md5(word, usedforsecurity=False).digest()[0] < 0x20
+
+
+class Ends(dict):
+    """Remembers for words whether they end a long stretch."""
+
+    def __missing__(self, word: bytes) -> bool:
+        if len(self) > 200_000:
+            self.clear()
+        found = self[word] = _is_end(word)
+        return found
+
+
+def sentences(text: str | None, ends: Ends | None = None) -> list[tuple[str, list[bytes]]]:
+    """(sentence, its words in UTF-8), in order; the sentences add up to the text."""
+    ends, out = Ends() if ends is None else ends, []
+    for part in SENTENCE.findall(text or ""):
+        words = part.encode("utf-8", "surrogatepass").split()
+        if len(words) <= LONG:
+            out.append((part, words))
+            continue
+        held, own = [], []
+        for piece, word in zip(_WORD.findall(part), [*words, b""], strict=False):
+            held.append(piece)
+            own += [word] if word else []
+            if word and ends[word]:
+                out.append(("".join(held), own))
+                held, own = [], []
+        if held:
+            out.append(("".join(held), own))
+    return out
+
+
+def _run_ends(counts: np.ndarray, least: int, words: int) -> np.ndarray:
+    """For each sentence the end of its run, past the last sentence where there is none."""
+    n = len(counts)
+    before = np.concatenate([[0], np.cumsum(counts)])
+    return np.maximum(np.searchsorted(before, before[:n] + words), np.arange(n) + least)
+
+
+def spans_of(text: str | None, least: int = SENTENCES, words: int = WORDS, ends: Ends | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(places, first halves, second halves): the runs' first sentences, counted among those with a word, and 128-bit hashes.
+
+    The sentences' hashes are the digits of a number whose part, shifted to its place, is the run's hash.
+    """
+    own = [w for _, w in sentences(text, ends) if w]
+    n, last = len(own), _run_ends(np.array([len(w) for w in own], np.int64), least, words) if own else np.empty(0, np.int64)
+    at = np.flatnonzero(last <= n)
+    if not len(at):
+        return np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+    digits = np.frombuffer(b"".join([xxhash.xxh3_128_digest(b" ".join(w)) for w in own]), np.uint64).reshape(n, 2)
+    halves = []
+    for digit, odd in zip(digits.T, _ODD, strict=True):
+        power = np.cumprod(np.full(n, odd, np.uint64))
+        back = np.cumprod(np.full(n, pow(int(odd), -1, 1 << 64), np.uint64))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(digit * power)])
+        x = (sums[last[at]] - sums[at]) * back[at] * odd
+        x = (x ^ (last[at] - at).astype(np.uint64)) * _ODD[0]
+        halves.append((x ^ (x >> np.uint64(31))).view(np.int64))
+    return at.astype(np.int32), *halves
 
-def _sentence_hashes(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each sentence that has a word, and its number of words (parts between white space)."""
-    found, own = sentences(text)
-    parts = [found[k].encode("utf-8", "surrogatepass").split() for k in own]
-    return np.array([xxhash.xxh3_64_intdigest(b" ".join(p)) for p in parts], np.uint64), np.array([len(p) for p in parts], np.int64)
 
+def covered(counts: list[int], places, least: int, words: int) -> set[int]:
+    """The sentences, counted among those with a word, that runs from ``places`` hold."""
+    ends = _run_ends(np.array(counts, np.int64), least, words)
+    return {k for p in places for k in range(p, ends[p])}
 
-def _run_hashes(h: np.ndarray, run: int) -> np.ndarray:
-    m = len(h) - run + 1
-    if m <= 0:
-        return np.empty(0, np.int64)
-    x = np.zeros(m, np.uint64)
-    for k in range(run):
-        x = (x ^ h[k : m + k]) * _ODD
-        x ^= x >> np.uint64(29)
-    return x.view(np.int64)
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """``rows`` with a salt: over SPREAD parts where ``hot``, else 0."""
+    return rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "text_hash", "pos"), F.lit(SPREAD))).otherwise(0))
 
-def span_hashes(text: str | None, run: int) -> np.ndarray:
-    """A 64-bit hash of each run of ``run`` consecutive sentences that have a word."""
-    return _run_hashes(_sentence_hashes(text)[0], run)
 
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``rows``, one a run or a hot one's part, for every salt that rows of it may have."""
+    return rows.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))))
 
-def spans_of(text: str | None, run: int, words: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(places, hashes) of the runs of ``run`` sentences, and of all shorter ones of ``words`` words or more.
 
-    A place is ``run`` times the run's first sentence plus the number of those that follow it in the run.
-    """
-    h, n = _sentence_hashes(text)
-    places, hashes = [], []
-    for size in range(1 if words is not None else run, run + 1):
-        x = _run_hashes(h, size)
-        at = np.arange(len(x))
-        if size < run and len(x):
-            long = np.convolve(n, np.ones(size, np.int64), "valid") >= words
-            at, x = at[long], x[long]
-        places.append(at * run + size - 1)
-        hashes.append(x)
-    return np.concatenate(places), np.concatenate(hashes)
-
-
-def repeated_spans(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
+def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """(doc_id, text_hash, starts): the places (see ``spans_of``) of runs that stand elsewhere before.
 
-    A document is a doc_id and a text; rows that repeat both are one document.  Places count
-    sentences that have a word.  The first place of a run is that of the least (doc_id, text hash,
-    place); the places of a run meet only as partial minima and in a join that can be split.
+    A document is a doc_id and a text; rows that repeat both are one document.  The first place of
+    a run is that of the least (doc_id, text hash, place), null ids last.  One half of the hashes is
+    counted first, by partial sums; only runs met more than once go on with both halves and their
+    places, and the rows of a run that makes up a large share of all go to SPREAD tasks.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = Ends()
         for part in slices(batches):
-            found = [spans_of(t, run, words) for t in part.column(2).to_pylist()]
-            ends = pa.array(np.cumsum([0, *(len(x) for x, _ in found)]).astype(np.int32))
-            places, spans = (np.concatenate([x[k] for x in found]) if found else np.empty(0, np.int64) for k in (0, 1))
-            each = pa.StructArray.from_arrays([pa.array(places.astype(np.int32)), pa.array(spans)], names=["pos", "span"])
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(ends, each)], names=["doc_id", "text_hash", "spans"])
+            found = [spans_of(t, least, words, ends) for t in part.column(2).to_pylist()]
+            offsets = pa.array(np.cumsum([0, *(len(x[0]) for x in found)]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([x[k] for x in found]))) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *lists], names=["doc_id", "text_hash", "pos", "a", "b"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, spans array<struct<pos:int,span:bigint>>"), "spans")
-    each = spans.select(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash").alias("doc"), F.inline("spans"))
-    each = each.select("span", F.struct("doc.*", "pos").alias("place"))
-    first = each.groupBy("span").agg(F.min("place").alias("first"), F.max("place").alias("last")).where("first != last").select("span", "first")
-    later = each.join(first, "span").where("place != first")
-    return later.groupBy("place.doc_id", "place.text_hash").agg(F.collect_set("place.pos").alias("starts"))
+    spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, pos array<int>, a array<bigint>, b array<bigint>"), "spans")
+    met = written(spans.select(F.explode("a").alias("a")).groupBy("a").count().where("count > 1"), "met")
+    runs = spans.agg(F.sum(F.size("a"))).first()[0] or 0
+    hot = F.broadcast(met.where(F.col("count") > runs * HOT).select(F.col("a").alias("hot_a")))  # at most 1 / HOT rows
 
+    each = spans.select("doc_id", "text_hash", F.inline(F.arrays_zip("pos", "a", "b")))
+    each = _spread(each.join(hot, F.col("a") == F.col("hot_a"), "left").withColumn("hot", F.col("hot_a").isNotNull()).drop("hot_a"))
+    keys = _repeated(met.select("a", (F.col("count") > runs * HOT).alias("hot"))).drop("hot")
+    again = written(each.join(keys, ["a", "salt"], "left_semi"), "again")
+    discard(spans, met)
 
-def cut_repeats(docs: DataFrame, run: int = 3, words: int | None = None) -> DataFrame:
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
+    first = again.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("hot").alias("hot"))
+    first = _repeated(first.where("first != last").select("a", "b", "first", "hot")).drop("hot")
+    later = again.join(first, ["a", "b", "salt"]).where(place != F.col("first"))
+    return later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts"))
+
+
+def cut_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) without sentences that repeat in runs.
 
-    A run has ``run`` sentences or, where ``words`` is given, fewer with at least so many words.
+    From every sentence a run goes on until it has ``least`` sentences and ``words`` words (parts
+    between white space); where the text ends before, there is none.
 
     Adds n_sentences (those with a word), n_removed and removed (their spans, as an array of start
     and end in code points of the former text, neighbours joined) and replaces text by what is left
-    of it, character for character.  Null and empty texts, and those without a
-    run, stay as they are.  Rows with a null doc_id come after all others.  An empty table
-    gives no rows.
+    of it, character for character.  Null and empty texts, and those without a run, stay as they
+    are.  Rows with a null doc_id come after all others.  Rows that repeat doc_id and text are one
+    document and get the same result.  An empty table gives no rows.
     """
-    starts = repeated_spans(docs, run, words).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
+    starts = repeated_spans(docs, least, words).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
     named = docs.withColumn("__own", F.xxhash64("text"))
     joined = named.join(starts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left").drop("__id", "__hash", "__own")
     extra = "n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>"
@@ -123,15 +179,17 @@ def cut_repeats(docs: DataFrame, run: int = 3, words: int | None = None) -> Data
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ends = Ends()
         for part in slices(batches):
             texts, counts, removed, spans = [], [], [], []
             for text, begun in zip(part.column(at).to_pylist(), part.column(len(keep)).to_pylist(), strict=True):
-                found, own = sentences(text)
-                gone = {own[p // run + k] for p in begun or () for k in range(p % run + 1)}
+                found = sentences(text, ends)
+                own = [k for k, (_, w) in enumerate(found) if w]
+                gone = {own[k] for k in covered([len(found[k][1]) for k in own], begun, least, words)} if begun else set()
                 counts.append(len(own))
                 removed.append(len(gone))
                 spans.append(_joined(found, gone))
-                texts.append("".join([s for k, s in enumerate(found) if k not in gone]) if gone else text)
+                texts.append("".join([s for k, (s, _) in enumerate(found) if k not in gone]) if gone else text)
             columns = list(part.columns[: len(keep)])
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)], names=[*keep, "n_sentences", "n_removed", "removed"])
@@ -140,10 +198,10 @@ def cut_repeats(docs: DataFrame, run: int = 3, words: int | None = None) -> Data
     return joined.transform(in_arrow, cut, f"{schema}, {extra}")
 
 
-def _joined(found: list[str], gone: set[int]) -> list[dict]:
+def _joined(found: list[tuple[str, list[bytes]]], gone: set[int]) -> list[dict]:
     """The spans of the sentences ``gone``."""
     spans, at = [], 0
-    for k, s in enumerate(found) if gone else ():
+    for k, (s, _) in enumerate(found) if gone else ():
         if k in gone:
             if spans and spans[-1]["end"] == at:
                 spans[-1]["end"] = at + len(s)
@@ -151,3 +209,43 @@ def _joined(found: list[str], gone: set[int]) -> list[dict]:
                 spans.append({"start": at, "end": at + len(s)})
         at += len(s)
     return spans
+
+
+#: The same in DuckDB's SQL, with the constants above.
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+p AS (
+  SELECT doc_id, unnest(x) AS part, unnest(range(1, len(x) + 1)) AS k
+  FROM (SELECT doc_id, regexp_extract_all(text, '[^STOPS\n]*[STOPS\n]+|[^STOPS\n]+') AS x FROM d)
+), t AS (
+  SELECT doc_id, k, len(list_filter(x, lambda w: trim(w, BLANK) <> '')) AS n, unnest(x) AS tok, unnest(range(1, len(x) + 1)) AS j
+  FROM (SELECT doc_id, k, regexp_extract_all(part, '[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+') AS x FROM p)
+), c AS (
+  SELECT *, trim(tok, BLANK) AS w, n > 8 AND trim(tok, BLANK) <> '' AND substr(md5(trim(tok, BLANK)), 1, 1) IN ('0', '1') AS ends FROM t
+), g AS (
+  SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id, k ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS piece FROM c
+), s AS (
+  SELECT doc_id, k, piece, string_agg(tok, '' ORDER BY j) AS raw, string_agg(w, ' ' ORDER BY j) FILTER (w <> '') AS txt, count(*) FILTER (w <> '') AS words
+  FROM g GROUP BY doc_id, k, piece
+), w AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k, piece) AS pos,
+         coalesce(sum(words) OVER (PARTITION BY doc_id ORDER BY k, piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM s WHERE words > 0
+), r AS (
+  SELECT doc_id, pos, before, count(*) OVER near AS n_near, sum(words) OVER near AS w_near, list(txt) OVER near AS t_near, count(*) OVER three AS n_three, list(txt) OVER three AS t_three, sum(words) OVER three AS w_three
+  FROM w WINDOW near AS (PARTITION BY doc_id ORDER BY before RANGE BETWEEN CURRENT ROW AND 14 FOLLOWING), three AS (PARTITION BY doc_id ORDER BY before ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)
+), f AS (
+  SELECT doc_id, pos, n, row_number() OVER (PARTITION BY array_to_string(span, chr(31)) ORDER BY doc_id, pos) AS nth
+  FROM (SELECT doc_id, pos, greatest(n_near, 3) AS n, CASE WHEN n_near > 2 THEN t_near ELSE t_three END AS span FROM r
+        WHERE CASE WHEN n_near > 2 THEN w_near ELSE w_three END >= 15 AND n_three = 3)
+), gone AS (
+  SELECT DISTINCT doc_id, pos + unnest(range(0, n)) AS pos FROM f WHERE nth > 1
+), cut AS (
+  SELECT w.doc_id, w.k, w.piece FROM w JOIN gone USING (doc_id, pos)
+), kept AS (
+  SELECT s.doc_id, string_agg(s.raw, '' ORDER BY s.k, s.piece) AS text FROM s LEFT JOIN cut USING (doc_id, k, piece) WHERE cut.k IS NULL GROUP BY s.doc_id
+)
+SELECT d.doc_id, coalesce(kept.text, '') AS text, coalesce(a.n, 0) AS n_sentences, coalesce(b.n, 0) AS n_removed
+FROM d LEFT JOIN kept USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id) a USING (doc_id)
+LEFT JOIN (SELECT doc_id, count(*) AS n FROM cut GROUP BY doc_id) b USING (doc_id)""".replace("STOPS", STOPS).replace("BLANK", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)")

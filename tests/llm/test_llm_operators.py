@@ -408,29 +408,56 @@ def test_keep_one_of_shared_ids(make):
 # --- sentence spans
 
 
-def _cut(rows, run=3):
-    split = {k: sentence_spans.SENTENCE.findall(t or "") for k, t in rows}
+def _split(text):
+    """Sentences by scanning characters, with their words."""
+    parts, held = [], ""
+    for k, c in enumerate(text or ""):
+        held += c
+        after = (text + "x")[k + 1]
+        if c in sentence_spans.STOPS + "\n" and after not in sentence_spans.STOPS + "\n":
+            parts.append(held)
+            held = ""
+    out = []
+    for part in [*parts, held] if held else parts:
+        tokens = re.findall(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+", part)
+        words = [t.strip(" \t\n\x0b\x0c\r") for t in tokens]
+        out.append(["", []])
+        for t, w in zip(tokens, words, strict=True):
+            out[-1][0] += t
+            out[-1][1] += [w] if w else []
+            if w and sum(map(bool, words)) > 8 and hashlib.md5(w.encode()).hexdigest()[0] in "01":
+                out.append(["", []])
+        out = [x for x in out if x[0]]
+    return out
+
+
+def _cut(rows, least=3, words=15):
     seen, out = set(), {}
-    for k, _ in sorted(rows):
-        own = [j for j, s in enumerate(split[k]) if s.strip()]
+    for k, t in sorted(rows):
+        split = _split(t)
+        own = [j for j, (_, w) in enumerate(split) if w]
         gone = set()
-        for p in range(len(own) - run + 1):
-            span = tuple(" ".join(split[k][j].split()) for j in own[p : p + run])
-            if span in seen:
-                gone |= set(own[p : p + run])
-            seen.add(span)
-        out[k] = "".join(s for j, s in enumerate(split[k]) if j not in gone)
+        for p in range(len(own)):
+            for e in range(p + least, len(own) + 1):
+                if sum(len(split[j][1]) for j in own[p:e]) >= words:
+                    span = tuple(" ".join(split[j][1]) for j in own[p:e])
+                    if span in seen:
+                        gone |= set(own[p:e])
+                    seen.add(span)
+                    break
+        out[k] = ("".join(s for j, (s, _) in enumerate(split) if j not in gone), len(own), len(gone))
     return out
 
 
-def test_sentence_spans_brute_force(make):
+@pytest.mark.parametrize(("least", "words"), [(3, 15), (2, 1), (1, 12)])
+def test_sentence_spans_brute_force(make, least, words):
     rng = random.Random(5)
-    pool = [f"Sentence {k} of it{rng.choice('.!?')}" for k in range(40)]
+    pool = [" ".join(f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 30))) + rng.choice(".!?,;:。") for _ in range(40)]
     passage = " ".join(pool[:6])
     rows = [(k, " ".join(rng.choice(pool) for _ in range(12)) + rng.choice(["\n", " "]) + (passage if k % 4 == 0 else "") + "\n\nend") for k in range(60)]
-    rows += [(100, ""), (101, "a. a. a. a. a. a."), (102, "no stop"), (103, "...\n\n")]
-    out = sentence_spans.cut_repeats(make(rows)).collect()
-    assert {r.doc_id: r.text for r in out} == _cut(rows)
+    rows += [(100, ""), (101, "a. a. a. a. a. a."), (102, "no stop"), (103, "...\n\n"), (104, "x\xa0y z\x1cw, " * 9 + "  \t")]
+    out = sentence_spans.cut_repeats(make(rows), least, words).collect()
+    assert {r.doc_id: (r.text, r.n_sentences, r.n_removed) for r in out} == _cut(rows, least, words)
     text = dict(rows)
     for r in out:
         keep = text[r.doc_id]
@@ -442,39 +469,31 @@ def test_sentence_spans_brute_force(make):
 def test_sentence_spans_edges(make):
     t = "One two. Three four. Five six. Seven."
     rows = [(1, t), (1, t), (2, t), (None, t), (None, None)]
-    got = sorted((r.doc_id or 99, r.text or "") for r in sentence_spans.cut_repeats(make(rows)).collect())
+    got = sorted((r.doc_id or 99, r.text or "") for r in sentence_spans.cut_repeats(make(rows), words=1).collect())
     assert got == [(1, t), (1, t), (2, ""), (99, ""), (99, "")]
     assert sentence_spans.cut_repeats(make([])).count() == 0
 
 
-def _cut_by_words(rows, run, words):
-    split = {k: sentence_spans.SENTENCE.findall(t or "") for k, t in rows}
-    seen, out = set(), {}
-    for k, _ in sorted(rows):
-        own = [j for j, s in enumerate(split[k]) if s.strip()]
-        gone = set()
-        for p in range(len(own)):
-            for size in range(1, min(run, len(own) - p) + 1):
-                span = tuple(" ".join(split[k][j].split()) for j in own[p : p + size])
-                if size < run and sum(len(s.split()) for s in span) < words:
-                    continue
-                if span in seen:
-                    gone |= set(own[p : p + size])
-                seen.add(span)
-        out[k] = "".join(s for j, s in enumerate(split[k]) if j not in gone)
-    return out
-
-
-def test_short_runs_of_many_words(make):
-    rng = random.Random(11)
-    say = lambda a, n: " ".join(f"{a}{k}" for k in range(n))
-    two, one, flat, short = f"{say('p', 30)}. {say('q', 25)}.", f"{say('r', 51)}.", say("s", 60), f"{say('t', 50)}."
-    rows = [(1, f"Begin. {two} Middle one. {one} End."), (2, f"Other. {two} Rest."), (3, f"{one} After it."), (4, flat), (5, flat), (6, short), (7, f"Then. {short}")]
-    pool = [f"{say(a, rng.randrange(3, 40))}." for a in "abcdefgh"]
-    rows += [(k, " ".join(rng.choice(pool) for _ in range(rng.randrange(1, 6)))) for k in range(20, 80)]
-    got = {r.doc_id: r.text for r in sentence_spans.cut_repeats(make(rows), run=3, words=51).collect()}
-    assert got == _cut_by_words(rows, 3, 51)
-    assert got[1] == rows[0][1] and got[2] == "Other. Rest." and got[3] == " After it." and got[5] == "" and got[7] == rows[6][1]
+def test_pasted_passages_and_short_sentences(make):
+    rng = random.Random(3)
+    say = lambda n: " ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(900)) for _ in range(n))
+    passage, filler = say(60), [say(40) for _ in range(30)]
+    rows = [(k, f"{filler[2 * k]} {passage} {filler[2 * k + 1]}") for k in range(10)] + [(k, "To. Of. The. In. At. " + say(30)) for k in range(20, 40)]
+    got = {r.doc_id: r for r in sentence_spans.cut_repeats(make(rows)).collect()}
+    for k in range(1, 10):
+        left = set(got[k].text.split())
+        assert len(left & set(passage.split())) < 30 and len(left & set(f"{filler[2 * k]} {filler[2 * k + 1]}".split())) > 70
+    assert all(got[k].n_removed == 0 for k in (0, *range(20, 40)))
+
+
+def test_hot_runs_and_a_very_long_text(spark, monkeypatch):
+    monkeypatch.setattr(sentence_spans, "HOT", 1 / 4)
+    line = "The same line of many words stands here and there, in all the texts of one source, and goes on.\n"
+    rows = [(k, line * 5 + f"own {k}") for k in range(50)] + [(99, line * 20_000)]
+    got = {r.doc_id: r for r in sentence_spans.cut_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
+    want = _cut(rows[:50])
+    assert {k: (got[k].text, got[k].n_sentences, got[k].n_removed) for k in range(50)} == want
+    assert got[99].text == "" and got[99].n_removed == got[99].n_sentences == 60_000
 
 
 # --- exact dedup
