@@ -3,8 +3,8 @@
 1. language ID: documents in which no language is recognised go;
 2. exact dedup: of equal texts one row stays;
 3. n-gram Jaccard join (five words, similarity 0.8 or more): one document of each group stays;
-4. substring dedup: sentences in runs (of three, or of over 50 words) that stand elsewhere before are
-   cut out; documents of which nothing is left go;
+4. substring dedup: sentences in runs (of three sentences and 15 words at least) that stand elsewhere
+   before are cut out; documents of which nothing is left go;
 5. best-fit packing of what is left into sequences of 2048 tokens.
 
 All but the last return the columns of ``documents``.
@@ -33,7 +33,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = sentence_spans.cut_repeats(docs, run=3, words=51)
+    cut = sentence_spans.cut_repeats(docs)
     left = F.translate(F.coalesce("text", F.lit("")), sentence_spans.BLANK, "") != ""
     kept = cut.where((F.col("n_removed") == 0) | left)
     if "n_chars" in docs.columns:
