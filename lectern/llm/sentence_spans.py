@@ -75,6 +75,22 @@ def sentences(text: str | None, ends: Ends | None = None) -> list[tuple[str, lis
     return out
 
 
+def words_of(text: str | None, ends: Ends) -> list[list[bytes]]:
+    """The words of those ``sentences`` that have any."""
+    out = []
+    for part in SENTENCE.findall(text or ""):
+        words = part.encode("utf-8", "surrogatepass").split()
+        begin = 0
+        if len(words) > LONG:
+            for k in [k for k, w in enumerate(words, 1) if ends[w]]:
+                out.append(words[begin:k])
+                begin = k
+            words = words[begin:]
+        if words:
+            out.append(words)
+    return out
+
+
 def _run_ends(counts: np.ndarray, least: int, words: int) -> np.ndarray:
     """For each sentence the end of its run, past the last sentence where there is none."""
     n = len(counts)
@@ -87,7 +103,7 @@ def spans_of(text: str | None, least: int = SENTENCES, words: int = WORDS, ends:
 
     The sentences' hashes are the digits of a number whose part, shifted to its place, is the run's hash.
     """
-    own = [w for _, w in sentences(text, ends) if w]
+    own = words_of(text, Ends() if ends is None else ends)
     n, last = len(own), _run_ends(np.array([len(w) for w in own], np.int64), least, words) if own else np.empty(0, np.int64)
     at = np.flatnonzero(last <= n)
     if not len(at):
@@ -183,13 +199,19 @@ def cut_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) ->
         for part in slices(batches):
             texts, counts, removed, spans = [], [], [], []
             for text, begun in zip(part.column(at).to_pylist(), part.column(len(keep)).to_pylist(), strict=True):
+                if not begun:
+                    counts.append(len(words_of(text, ends)))
+                    removed.append(0)
+                    spans.append([])
+                    texts.append(text)
+                    continue
                 found = sentences(text, ends)
                 own = [k for k, (_, w) in enumerate(found) if w]
-                gone = {own[k] for k in covered([len(found[k][1]) for k in own], begun, least, words)} if begun else set()
+                gone = {own[k] for k in covered([len(found[k][1]) for k in own], begun, least, words)}
                 counts.append(len(own))
                 removed.append(len(gone))
                 spans.append(_joined(found, gone))
-                texts.append("".join([s for k, (s, _) in enumerate(found) if k not in gone]) if gone else text)
+                texts.append("".join([s for k, (s, _) in enumerate(found) if k not in gone]))
             columns = list(part.columns[: len(keep)])
             columns[at] = pa.array(texts, columns[at].type)
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, span)], names=[*keep, "n_sentences", "n_removed", "removed"])
@@ -201,7 +223,7 @@ def cut_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) ->
 def _joined(found: list[tuple[str, list[bytes]]], gone: set[int]) -> list[dict]:
     """The spans of the sentences ``gone``."""
     spans, at = [], 0
-    for k, (s, _) in enumerate(found) if gone else ():
+    for k, (s, _) in enumerate(found):
         if k in gone:
             if spans and spans[-1]["end"] == at:
                 spans[-1]["end"] = at + len(s)
