@@ -7,6 +7,9 @@ left out.  Shapes are bounded by the canon; how they are joined is left to the o
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,11 +76,15 @@ def single_pairs(rows: DataFrame, books: list[str]) -> DataFrame:
     return both.select(F.explode(paired).alias("p")).select("p.s", "p.t").distinct()
 
 
-def section_pairs(lines: DataFrame, part: str, books: list[str]) -> DataFrame:
-    """(s, t) of rows [label, source, target, action] whose label has ``part`` among its ``+`` parts."""
+def section_pairs(lines: DataFrame, part: str, books: list[str], skip: tuple[str, ...] = ("$", "#", "TEST", "English")) -> DataFrame:
+    """(s, t) of rows [label, source, target, action] whose label has ``part`` among its ``+`` parts.
+
+    Labels that begin with one of ``skip`` are heads of sections and no rows.
+    """
+    head = reduce(or_, [F.trim(F.split("value", "\t")[0]).startswith(x) for x in skip])
     c = F.split("value", "\t")
     at = lambda k: F.trim(F.get(c, F.lit(k)))
-    rows = lines.where((F.size(c) >= 4) & (at(0) != "") & ~at(0).rlike(r"^(\$|#|TEST|BIBLES|English)") & F.array_contains(F.split(at(0), r"\+"), part) & ~at(3).rlike("^(Keep|MergedPrev|MergedFoll)"))
+    rows = lines.where((F.size(c) >= 4) & (at(0) != "") & ~head & F.array_contains(F.split(at(0), r"\+"), part) & ~at(3).rlike("^(Keep|MergedPrev|MergedFoll)"))
     both = rows.select(expand_tradition(at(1), books).alias("x"), expand_tradition(at(2), books).alias("y")).where("size(x) = size(y) AND x IS NOT NULL")
     return both.select(F.explode(F.arrays_zip("x", "y")).alias("p")).select(F.col("p.x").alias("s"), F.col("p.y").alias("t")).distinct()
 

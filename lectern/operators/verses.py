@@ -23,19 +23,29 @@ from pyspark.sql import functions as F
 #: White space as JavaScript has it.
 SPACE = "\t\n\v\f\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
 #: Paragraph markers of headings, of what is no text, character markers of what is no text.
-HEADING = re.compile(r"(?:s|ms|mt|mte)[0-9]*|mr|r|sr|sp|cl|qa|cd|d")
-NO_PARAGRAPH = re.compile(r"rem|restore|cp|ide|(?:h|toc|toca)[0-9]*|i[A-Za-z0-9_]+")
+HEADINGS, LEVEL_HEADINGS = frozenset("mr r sr sp cl qa cd d".split()), frozenset("s ms mt mte".split())
+NO_TEXT, LEVEL_NO_TEXT = frozenset("rem restore cp ide".split()), frozenset("h toc toca".split())
 NO_CHARACTERS = frozenset({"rq", "qac", "fm", "vp", "va", "ca", "fig"})
 #: Grafts without verse text, and signs that open a quotation.
 NO_GRAFT = frozenset({"heading", "title", "introduction", "end_title", "remark", "fig", "footnote", "xref", "note_caller"})
 OPENING = frozenset("«“\"‘'<&¿¡([—-")
 
 _SPACES = re.compile(f"[{SPACE}]+")
+_LEVEL = "0123456789"
 _PIPE_VALUE = re.compile(r'\| default="?([^"|]*)"?')
 _LEGACY = re.compile(r"\|(sc|i|r|d)")
 Event = tuple
 
 
+def _is_heading(marker: str) -> bool:
+    return marker in HEADINGS or marker.rstrip(_LEVEL) in LEVEL_HEADINGS
+
+
+def _is_no_text(marker: str) -> bool:
+    """Whether a paragraph holds no verse text: introductions, all of whose markers begin with i, among them."""
+    return marker in NO_TEXT or marker.rstrip(_LEVEL) in LEVEL_NO_TEXT or bool(re.fullmatch(r"i\w+", marker, re.A))
+
+
 def clean(text: str) -> str:
     """Pipe values restored, legacy formatting codes dropped where they stand as such, white space collapsed."""
     text = _PIPE_VALUE.sub(r"|\1", text)
@@ -104,12 +114,12 @@ def usj_events(node: dict) -> Iterator[Event]:
         kind, marker = item.get("type"), item.get("marker") or ""
         if kind == "chapter":
             yield "chapter", _label(item.get("number"))
-        elif kind in ("note", "figure") or (kind == "para" and NO_PARAGRAPH.fullmatch(marker)):
+        elif kind in ("note", "figure") or (kind == "para" and _is_no_text(marker)):
             continue
         elif kind in ("table", "table:row", "row"):
             yield from usj_events(item)
         else:
-            yield from _usj_inline(item.get("content"), _Line(kind == "para" and bool(HEADING.fullmatch(marker))))
+            yield from _usj_inline(item.get("content"), _Line(kind == "para" and _is_heading(marker)))
             if kind in ("para", "table:cell", "cell"):
                 yield "text", " "
 
@@ -159,8 +169,8 @@ def sofria_events(document: dict) -> Iterator[Event]:
                 for cell in b.get("content") or []:
                     yield from _sofria_inline([cell], _Line(), state)
                     yield "text", " "
-            elif not NO_PARAGRAPH.fullmatch(_usfm(b.get("subtype"))):
-                yield from _sofria_inline(b.get("content"), _Line(bool(HEADING.fullmatch(_usfm(b.get("subtype"))))), state)
+            elif not _is_no_text(_usfm(b.get("subtype"))):
+                yield from _sofria_inline(b.get("content"), _Line(_is_heading(_usfm(b.get("subtype")))), state)
                 yield "text", " "
 
     yield "chapter", ""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import archive, candidates, chapters, graphs, maps, records, usfm, verses
+from lectern.operators import archive, candidates, chapters, graphs, maps, osis, records, usfm, verses
 from lectern.plans.catalog import query
 from lectern.session import table
 
@@ -122,9 +122,9 @@ def source_verses(spark, sf_dir):
 )
 def converted_osis(spark, sf_dir):
     """C4: OSIS fragments as source text."""
-    osis = F.when(F.col("role") == "user", F.concat(F.lit('<transChange type="added">'), F.col("role"), F.lit("</transChange>"))).otherwise(F.concat(F.col("role"), F.lit("<note>n</note>")))
-    verses = table(spark, sf_dir, "conversations").select("conv_id", F.lit(1).alias("chapter"), (F.col("turn") + 1).alias("verse"), osis.alias("osis"))
-    return usfm.converted_osis(verses, ["conv_id"])
+    marked = F.when(F.col("role") == "user", F.concat(F.lit('<transChange type="added">'), F.col("role"), F.lit("</transChange>"))).otherwise(F.concat(F.col("role"), F.lit("<note>n</note>")))
+    verses = table(spark, sf_dir, "conversations").select("conv_id", F.lit(1).alias("chapter"), (F.col("turn") + 1).alias("verse"), marked.alias("osis"))
+    return osis.converted_osis(verses, ["conv_id"])
 
 
 @query("chapter_books", "SELECT conv_id, '1' AS chapter, CAST(turn + 1 AS VARCHAR) AS verse, 'turn ' || turn || ' of ' || role AS text FROM conversations")

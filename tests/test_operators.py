@@ -87,8 +87,8 @@ def test_clusters(spark):
 
 def test_sources(spark, tmp_path):
     page = {"data": [{"iso": "eng", "abbr": "ENGX", "filesets": {"b": [{"id": "ENGXN1DA", "type": "audio", "size": "NT"}, {"id": "ENGXO_ET", "type": "text", "size": "OT"}]}}]}
-    (tmp_path / "bibles_page_1.json").write_text(json.dumps(page))
-    found = tables.filesets(tables.catalog_pages(spark, str(tmp_path / "bibles_page_1.json")))
+    (tmp_path / "list_page_1.json").write_text(json.dumps(page))
+    found = tables.filesets(tables.catalog_pages(spark, str(tmp_path / "list_page_1.json")))
     assert sorted((r.iso, r.id, r.size) for r in found.collect()) == [("eng", "ENGXN1DA", "NT"), ("eng", "ENGXO_ET", "OT")]
     (tmp_path / "d").mkdir()
     (tmp_path / "d/good.json").write_text('{"iso": "eng"}')

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.operators import usfm
+from lectern.operators import osis, usfm
 
 BOOK = """\\id MRK
 \\c 1
@@ -84,10 +84,10 @@ def test_strings():
 
 def test_osis():
     verses = [(1, 1, '<title type="psalm">Of <b>D</b></title>'.replace("<b>D</b>", "D") + '<div type="x-p"/>In <transChange type="added">the</transChange> day<note>why</note>'), (1, 2, '<lb/>'.replace("<lb/>", "") + '<l sID="a" level="2"/>line <q who="Jesus">said &amp; done</q><l eID="a"/>'), (2, 1, "next")]
-    assert usfm.osis_to_usfm(verses) == "\\c 1\n\\d Of D\n\\p\n\\v 1 In \\add the\\add* day\\f + \\ft why\\f*\n\\q2\n\\v 2 line \\wj said & done\\wj*\n\\c 2\n\\p\n\\v 1 next\n"
+    assert osis.osis_to_usfm(verses) == "\\c 1\n\\d Of D\n\\p\n\\v 1 In \\add the\\add* day\\f + \\ft why\\f*\n\\q2\n\\v 2 line \\wj said & done\\wj*\n\\c 2\n\\p\n\\v 1 next\n"
     for bad in ("<odd>x</odd>", "<q>x", "</q>"):
-        with pytest.raises(usfm.Unsupported):
-            usfm.osis_to_usfm([(1, 1, bad)])
+        with pytest.raises(osis.Unsupported):
+            osis.osis_to_usfm([(1, 1, bad)])
 
 
 def test_columns(spark):
@@ -98,8 +98,8 @@ def test_columns(spark):
     trees = spark.createDataFrame([(1, json.dumps({"content": [{"type": "chapter", "number": 1}, {"type": "verse", "number": "1"}, "t"]})), (2, "{"), (3, None)], "id int, raw string")
     assert [tuple(r) for r in usfm.old_verse_table(trees, ["id"], "raw").collect()] == [(1, 1, "1", "t")]
     assert trees.select(usfm.json_col(usfm.drop_strongs, "raw")).count() == 3
-    osis = spark.createDataFrame([("A", 1, 2, "b"), ("A", 1, 1, "a"), ("B", 1, 1, "<odd>")], "book string, chapter int, verse int, osis string")
-    got = {r.book: (r.usfm, r.error) for r in usfm.converted_osis(osis, ["book"]).collect()}
+    books = spark.createDataFrame([("A", 1, 2, "b"), ("A", 1, 1, "a"), ("B", 1, 1, "<odd>")], "book string, chapter int, verse int, osis string")
+    got = {r.book: (r.usfm, r.error) for r in osis.converted_osis(books, ["book"]).collect()}
     assert got["A"] == ("\\c 1\n\\p\n\\v 1 a\n\\v 2 b\n", None) and got["B"][0] is None and "odd" in got["B"][1]
-    assert osis.limit(0).transform(lambda d: usfm.converted_osis(d, ["book"])).count() == 0
+    assert books.limit(0).transform(lambda d: osis.converted_osis(d, ["book"])).count() == 0
     assert rows.select(F.count("*")).first()[0] == 2
