@@ -21,10 +21,11 @@ def equal_pairs(df: DataFrame, by: list[str], key: str, value: str) -> DataFrame
 
 
 def identical_clusters(df: DataFrame, by: list[str], key: str, value: str) -> DataFrame:
-    """(key, cluster, n): equality is transitive, so a cluster is a group, named by its least key."""
-    named = df.select(*by, key, F.sha2(F.coalesce(value, F.lit("")), 256).alias("__h"))
+    """(key, cluster, n): equality is transitive, so a cluster is a group, named by its least key; a null value is not an empty one."""
+    named = df.select(*by, key, F.sha2(value, 256).alias("__h"))
     groups = named.groupBy(*by, "__h").agg(F.min(key).alias("cluster"), F.count("*").alias("n"))
-    return named.join(groups, [*by, "__h"]).select(key, "cluster", "n")
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in [*by, "__h"]]
+    return named.alias("a").join(groups.alias("b"), same).select(f"a.{key}", "cluster", "n")
 
 
 def probes(docs: DataFrame) -> DataFrame:
@@ -61,25 +62,40 @@ def clusters(scores: DataFrame, least: float) -> DataFrame:
     return components(scores.where(F.col("score") >= least)).select(F.col("node").alias("doc_id"), F.col("component").alias("cluster"))
 
 
-#: Bounds of the diagnosis.
-ORTHOGRAPHY_PAIRS, ORTHOGRAPHY_SCORE, DIALECT_SCORE = 5, 0.9, 0.8
+#: Bounds of the diagnosis, and edits known to be distinctions of sound.
+DUPLICATE_LETTERS, DUPLICATE_HUNKS = 30, 5
+ORTHOGRAPHY_PAIRS, ORTHOGRAPHY_SCORE, DIALECT_SCORE = 5, 0.5, 0.85
+KNOWN_PHONEMIC_PAIRS = frozenset({frozenset({"ʉ", "u"})})
+
+
+def repeats_itself(a: str, b: str, places: list[tuple[int, int, int, int]]) -> bool:
+    """Whether a long hunk of a text, of few, stands in the rest of that text as well."""
+    if len(places) > DUPLICATE_HUNKS:
+        return False
+    sides = [(own, i, j) for i1, i2, j1, j2 in places for own, i, j in ((a, i1, i2), (b, j1, j2))]
+    return any(j - i >= DUPLICATE_LETTERS and own[i:j] in own[:i] + own[j:] for own, i, j in sides)
+
+
+def replaced_score(a: str, b: str, pair: tuple[str, str]) -> float:
+    """The similarity when the first side's part of an edit is rewritten everywhere; an insertion rewrites nothing."""
+    x, y = pair
+    return text.text_similarity(a.replace(x, y) if x else a, b)
 
 
 def category(a: str, b: str, score: float) -> str:
     """Why two texts differ; the tests come in this order."""
-    found = text.hunks(a, b)
-    pair, share, kinds = text.dominant_pair(found)
-    if len(found) <= 5 and any(len(p) >= 30 and own.count(p) > 1 for _, x, y in found for p, own in ((x, a), (y, b))):
+    places = text.edits(a, b)
+    pair, share, kinds = text.dominant_pair(text.hunks(a, b))
+    if repeats_itself(a, b, places):
         return "likely_source_duplication"
-    if pair and share >= 0.8 and len(found) >= 3:
-        x, y = pair
-        replaced = text.similarity(a.replace(x, y), b) if x else text.similarity(a, b.replace(y, x))
-        return "single_pair_dominant_ambiguous" if replaced >= 0.999 else "likely_phonemic_distinction"
+    if pair and share >= 0.8 and len(places) >= 3:
+        known = frozenset(pair) in KNOWN_PHONEMIC_PAIRS
+        return "single_pair_dominant_ambiguous" if not known and replaced_score(a, b, pair) >= 0.999 else "likely_phonemic_distinction"
     if 0 < kinds <= ORTHOGRAPHY_PAIRS and score >= ORTHOGRAPHY_SCORE:
         return "likely_orthography_convention"
     if score >= DIALECT_SCORE:
         return "likely_dialect_variant"
-    return "likely_distinct_translation" if found else "unclassified"
+    return "likely_distinct_translation" if places else "unclassified"
 
 
 def diagnose(scores: DataFrame, p: DataFrame) -> DataFrame:

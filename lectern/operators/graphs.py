@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,14 +12,15 @@ from pyspark.sql import functions as F
 def cut(df: DataFrame) -> DataFrame:
     """``df`` with its lineage cut in the shared checkpoint folder of the session.
 
-    Only where that setting is absent, as in tests, a folder of the machine is taken.
+    Where that setting is absent a session of one machine takes a temporary folder; on a cluster,
+    whose executors could not read that, this raises.
     """
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            import tempfile
-
+            if not re.match(r"local(\[|$)", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             folder = tempfile.mkdtemp(prefix="lectern-")
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

@@ -85,15 +85,20 @@ def classify_scheme(ps117: Column, ps151: Column, ps51: Column, mal: Column, mal
     return F.when(ps117.isNull(), unknown).when((ps117 >= 15) | ps151, septuagint).otherwise(masoretic)
 
 
-def checksum(counts: DataFrame, reference: DataFrame, slack: int = 20, extra_weight: int = 100, extra_book: str = "PSA") -> DataFrame:
-    """D3: whether a text's verse counts agree with a scheme's: (id, over, ok).
+def checksum(counts: DataFrame, reference: DataFrame, slack: int = 20, extra_weight: int = 100, chapter_books: tuple[str, ...] = ("PSA",)) -> DataFrame:
+    """D3: whether a text's verse counts agree with a scheme's: (id, worst, flagged, ok).
 
-    ``counts``: (id, book, verses, chapters); ``reference``: (book, ref_verses, ref_chapters).  Too many
-    verses add up; an extra chapter of ``extra_book`` weighs ``extra_weight``.  Other books do not count.
+    ``counts``: (id, book, verses, chapters); ``reference``: (book, ref_verses, ref_chapters).  A book is
+    flagged that alone has more than ``slack`` verses too many, or else, among ``chapter_books``, too
+    many chapters, each of which weighs ``extra_weight``.  Too few verses, books without a reference
+    and null counts tell nothing; a text without any book to check is ok.
     """
-    j = counts.join(reference, "book")
-    over = F.greatest(F.col("verses") - F.col("ref_verses"), F.lit(0)) + F.when((F.col("book") == extra_book) & (F.col("chapters") > F.col("ref_chapters")), extra_weight).otherwise(0)
-    return j.groupBy("id").agg(F.sum(over).alias("over")).withColumn("ok", F.col("over") <= slack)
+    j = counts.join(reference, "book", "left")
+    over, extra = F.col("verses") - F.col("ref_verses"), F.col("chapters") - F.col("ref_chapters")
+    sign = F.when(over > slack, F.struct(over.alias("weight"), F.concat("book", F.lit(" v+"), over.cast("string")).alias("told")))
+    sign = sign.when(F.col("book").isin(*chapter_books) & (extra > 0), F.struct((extra * extra_weight).alias("weight"), F.concat("book", F.lit(" ch+"), extra.cast("string")).alias("told")))
+    told = j.withColumn("__s", sign).groupBy("id").agg(F.coalesce(F.max("__s.weight"), F.lit(0).cast("bigint")).alias("worst"), F.array_sort(F.collect_list("__s.told")).alias("flagged"))
+    return told.withColumn("ok", F.size("flagged") == 0)
 
 
 def nearest_shape(lengths: DataFrame, shapes: DataFrame, order: list[str]) -> DataFrame:
@@ -128,9 +133,8 @@ def contiguous(refs: DataFrame) -> DataFrame:
 
 def neighbour_offset(df: DataFrame, by: list[str], order: str, offset: str) -> DataFrame:
     """An unknown offset from the nearest known ones: where both sides agree or one is there; else the mode of its group."""
-    w = Window.partitionBy(*by).orderBy(order)
-    before = F.last(offset, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    after = F.first(offset, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    side = lambda k: F.last(offset, ignorenulls=True).over(Window.partitionBy(*by).orderBy(k).rowsBetween(Window.unboundedPreceding, -1))
+    before, after = side(F.asc(order)), side(F.desc(order))
     modes = df.where(F.col(offset).isNotNull()).groupBy(*by, offset).agg(F.count("*").alias("__n")).groupBy(*by).agg(F.min(F.struct((-F.col("__n")).alias("k"), F.col(offset).alias("v"))).alias("__m"))
     near = df.withColumns({"__a": before, "__b": after}).join(modes, by, "left")
     pick = F.when(F.col("__a") == F.col("__b"), F.col("__a")).when(F.col("__a").isNull(), F.col("__b")).when(F.col("__b").isNull(), F.col("__a")).otherwise(F.col("__m.v"))

@@ -65,22 +65,44 @@ def decode_id(base: Column, spec: Column) -> Column:
 
 
 def bitrate(c: Column) -> Column:
-    """P4: "128kbps" is 128, anything else null."""
-    return F.regexp_extract(F.lower(c), r"^\s*(\d+)\s*kbps\s*$", 1).try_cast("int")
+    """P4: "128kbps" is 128, anything else null; the unit is in small letters and last, a sign and blanks may be beside the number."""
+    number = F.regexp_extract(c, r"^\s*([+-]?\d+(?:_\d+)*)\s*kbps$", 1)
+    return F.regexp_replace(number, "[+_]", "").try_cast("int")
 
 
-def license_class(c: Column) -> Column:
-    """A license class from a page, tags stripped, by priority."""
-    t = F.lower(F.regexp_replace(c, "<[^>]*>", " "))
+#: Links to licenses, and the words that rule one out or reserve rights.
+LICENSE_LINK = r"(?i)creativecommons\.org/(licenses|publicdomain)/([a-z-]+)(?:/([0-9.]+))?"
+NO_DERIVATIVES, RESERVED = r"(?i)no[ -]?deriv", r"(?i)all rights reserved"
+
+
+def page_license(page: Column, url: Column) -> Column:
+    """What a copyright page (HTML) permits, as a struct (type, url, reason); a null type with the reason.
+
+    First no-derivatives licenses are refused, by link or by words; then the one license that is
+    linked holds, and several tell nothing; then CC0; then public domain, unless rights are reserved.
+    Null pages state no license.
+    """
+    raw = F.coalesce(page, F.lit(""))
+    blank = F.regexp_replace(F.regexp_replace(raw, "<[^>]+>", " "), "&(?:nbsp|#160|#[xX][aA]0);", " ")
+    told = F.regexp_replace(blank, r"(?U)\s+", " ")
+    part = lambda k: F.regexp_extract_all(raw, F.lit(LICENSE_LINK), F.lit(k))
+    links = F.transform(F.arrays_zip(part(1).alias("area"), part(2).alias("kind"), part(3).alias("version")), lambda x: F.struct(F.lower(x["area"]).alias("area"), F.lower(x["kind"]).alias("kind"), x["version"].alias("version")))
+    own = F.array_distinct(F.filter(links, lambda x: x["area"] == "licenses"))
+    one = F.get(own, F.lit(0))
+    name = F.concat(F.lit("CC "), F.upper(one["kind"]), F.when(one["version"] != "", F.concat(F.lit(" "), one["version"])).otherwise(""))
+    link = F.concat(F.lit("https://creativecommons.org/licenses/"), one["kind"], F.lit("/"), F.when(one["version"] != "", one["version"]).otherwise("4.0"), F.lit("/"))
+    open_ = F.exists(links, lambda x: x["area"] == "publicdomain") | told.rlike(r"(?i)\bpublic domain\b")
+    yes = lambda kind, at: F.struct(kind.alias("type"), at.alias("url"), F.lit(None).cast("string").alias("reason"))
+    no = lambda why: F.struct(F.lit(None).cast("string").alias("type"), F.lit(None).cast("string").alias("url"), F.lit(why).alias("reason"))
     return (
-        F.when(t.rlike("public domain"), "public-domain")
-        .when(t.rlike("by-nc-nd|noncommercial.{0,40}noderiv"), "by-nc-nd")
-        .when(t.rlike("by-nc"), "by-nc")
-        .when(t.rlike("by-nd"), "by-nd")
-        .when(t.rlike("by-sa|sharealike"), "by-sa")
-        .when(t.rlike("creative commons|cc by"), "by")
-        .when(t.rlike("copyright|©|all rights reserved"), "copyright")
-        .otherwise("unknown")
+        F.when(F.exists(links, lambda x: F.array_contains(F.split(x["kind"], "-"), "nd")) | told.rlike(NO_DERIVATIVES), no("No Derivatives"))
+        .when(F.size(own) == 1, yes(name, link))
+        .when(F.size(own) > 1, no("several licences on the page"))
+        .when(F.exists(links, lambda x: (x["area"] == "publicdomain") & (x["kind"] == "zero")), yes(F.lit("CC0 1.0"), F.lit("https://creativecommons.org/publicdomain/zero/1.0/")))
+        .when(open_ & told.rlike(r"(?i)all rights reserved|license agreement"), no("public domain mentioned, but rights reserved"))
+        .when(open_, yes(F.lit("Public Domain"), url))
+        .when(told.rlike(RESERVED), no("All rights reserved"))
+        .otherwise(no("no licence stated"))
     )
 
 
@@ -110,6 +132,6 @@ def islands(df: DataFrame, by: list[str], order: str, value: str) -> DataFrame:
 
 
 def back_fill(df: DataFrame, by: list[str], order: str, value: str, out: str) -> DataFrame:
-    """The next value that is not null after a row."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(1, Window.unboundedFollowing)
-    return df.withColumn(out, F.first(value, ignorenulls=True).over(w))
+    """The next value that is not null after a row; read backwards, so that the frame only grows."""
+    w = Window.partitionBy(*by).orderBy(F.desc(order)).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn(out, F.last(value, ignorenulls=True).over(w))

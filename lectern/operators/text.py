@@ -85,12 +85,6 @@ def normal_form(text: str | None) -> str:
     return "none" if c and d else "NFC" if c else "NFD" if d else "mixed"
 
 
-def merged_form(forms: list[str]) -> str:
-    """Of several texts: none yields to any other; two kinds are mixed."""
-    kinds = {f for f in forms if f != "none"}
-    return "none" if not kinds else kinds.pop() if len(kinds) == 1 else "mixed"
-
-
 def strip_marks(text: str) -> str:
     """NFC without combining marks (but asat and virama of Myanmar) and variation selectors."""
     kept = "\u1039\u103a"
@@ -115,42 +109,6 @@ def content(text: str | None) -> str:
     return unicodedata.normalize("NFC", t.translate(_ONE_APOSTROPHE)).translate(_LETTERS_AND_MARKS)
 
 
-def script_of(c: str) -> str:
-    """The script that a letter's name begins with, good for the scripts of this catalog."""
-    return unicodedata.name(c, "UNKNOWN").split(" ")[0].title()
-
-
-def script_letters(text: str | None) -> dict[str, int]:
-    """Letters by script."""
-    counts: Counter = Counter()
-    for c, n in Counter(text or "").items():
-        if unicodedata.category(c)[0] == "L":
-            counts[script_of(c)] += n
-    return dict(counts)
-
-
-def detect_script(counts: dict[str, int]) -> tuple[str | None, list[str]]:
-    """The main script, and, where others have at least 1 % of the letters, it and them by size.
-
-    Kana makes a text Japanese (with its Han letters), Hangul Korean; otherwise most letters decide.
-    """
-    left = dict(counts)
-    total = sum(left.values())
-    if not total:
-        return None, []
-    if left.get("Hiragana") or left.get("Katakana"):
-        main, merged = "Jpan", ("Hiragana", "Katakana", "Cjk")
-    elif left.get("Hangul"):
-        main, merged = "Kore", ("Hangul", "Cjk")
-    else:
-        main = max(left, key=lambda k: (left[k], k))
-        merged = (main,)
-    for k in merged:
-        left.pop(k, None)
-    minor = [k for k in sorted(left, key=lambda k: -left[k]) if left[k] / total >= 0.01]
-    return main, [main, *minor] if minor else []
-
-
 def letter_index(n: int) -> str:
     """0 is a, 25 z, 26 aa."""
     out = ""
@@ -161,9 +119,15 @@ def letter_index(n: int) -> str:
     return out
 
 
+def edits(a: str, b: str) -> list[tuple[int, int, int, int]]:
+    """Where two texts differ: (start, end) of the part of a, and of b."""
+    return [tuple(places) for tag, *places in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if tag != "equal"]
+
+
 def hunks(a: str, b: str) -> list[tuple[str, str, str]]:
     """What differs: (tag, part of a, part of b)."""
-    return [(tag, a[i:j], b[k:m]) for tag, i, j, k, m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if tag != "equal"]
+    kind = lambda i, j, k, m: "insert" if i == j else "delete" if k == m else "replace"
+    return [(kind(i, j, k, m), a[i:j], b[k:m]) for i, j, k, m in edits(a, b)]
 
 
 def dominant_pair(found: list[tuple[str, str, str]]) -> tuple[tuple[str, str] | None, float, int]:
@@ -203,10 +167,6 @@ def normal_form_col(c: Column | str) -> Column:
     return _udf(normal_form, T.StringType())(c)
 
 
-def script_letters_col(c: Column | str) -> Column:
-    return _udf(script_letters, T.MapType(T.StringType(), T.IntegerType()))(c)
-
-
 def similarity_col(a: Column | str, b: Column | str) -> Column:
     """X5 rounded to four places as the binary value; equal texts are answered without the UDF."""
 

@@ -144,16 +144,24 @@ def tokens_col(c: Column | str, written: bool = False) -> Column:
     return apply(c)
 
 
-def fingerprints(verses: DataFrame, book: list[str], text: str = "text", tokens: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(chapters, books) with their SHA-256: ``verses`` has the book's key, chapter and verse (numbers) and text.
+def fingerprints(verses: DataFrame, book: list[str], text: str = "text", line: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(chapters, books) with their SHA-256: ``verses`` has the book's key, chapter and verse (numbers) and text.
 
-    Lines are in numeric order of verse and chapter; verses without tokens and chapters without
-    verses are left out.
+    ``line`` is what of a verse is hashed: its tokens joined, or, for the content fingerprint, its
+    content string.  Lines are in numeric order of verse and chapter; verses with nothing to hash
+    and chapters without verses are left out.
     """
-    toks = tokens if tokens is not None else tokens_col(text)
-    lines = verses.withColumn("__t", toks).where(F.size("__t") > 0)
-    line = F.concat(F.col("verse").cast("string"), F.lit(":"), F.array_join("__t", " "))
+    hashed = line if line is not None else F.array_join(tokens_col(text), " ")
+    lines = verses.withColumn("__t", hashed).where("__t != ''")
+    line = F.concat(F.col("verse").cast("string"), F.lit(":"), F.col("__t"))
     digest = lambda k, x: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(k, x.alias("l")))), lambda y: y["l"]), "\n"), 256)
     chapters = lines.groupBy(*book, "chapter").agg(digest("verse", line).alias("fp"))
     books = chapters.groupBy(*book).agg(digest("chapter", F.concat(F.col("chapter").cast("string"), F.lit(":"), F.col("fp"))).alias("fp"))
     return chapters, books.withColumn("file_hash", F.substring("fp", 1, 8))
+
+
+def chapter_digests(verses: DataFrame, book: list[str], text: str = "text") -> DataFrame:
+    """(book, chapter, digest): SHA-256 of ``verse TAB text LF`` of a chapter's verses in order; null texts are no verses."""
+    line = F.struct("verse", F.concat(F.col("verse").cast("string"), F.lit("\t"), F.col(text), F.lit("\n")).alias("l"))
+    told = F.array_join(F.transform(F.array_sort(F.collect_list(line)), lambda x: x["l"]), "")
+    return verses.where(F.col(text).isNotNull()).groupBy(*book, "chapter").agg(F.sha2(told, 256).alias("digest"))

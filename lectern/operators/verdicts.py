@@ -10,10 +10,12 @@ def textual_basis(verses: DataFrame, key: str = "id") -> DataFrame:
     """The textual basis from diagnostic verses.
 
     ``verses``: (key, text, tr_only), one row per diagnostic verse that could be looked up.  A verse
-    that is empty is absent, one in brackets doubtful.  Fewer than eight verses tell nothing.
+    that is empty is absent, one that begins with a bracket doubtful; a null text was not looked
+    up.  Fewer than eight verses tell nothing.
     """
-    blank = F.trim(F.col("text")) == ""
-    bracketed = ~blank & F.col("text").rlike(r"^\s*[\[(⟦].*[\])⟧]\s*$")
+    verses = verses.where(F.col("text").isNotNull())
+    blank = F.col("text").rlike(r"(?U)^\s*$")
+    bracketed = F.col("text").rlike(r"(?U)^\s*[\[(【]")
     present = ~blank & ~bracketed
     counts = verses.groupBy(key).agg(
         F.count("*").alias("checked"), F.count_if(present).alias("present"), F.count_if(bracketed).alias("bracketed"),

@@ -52,10 +52,14 @@ SELECT doc_id, sha256(string_agg(v || ':' || array_to_string(toks, ' '), chr(10)
 FROM lines WHERE len(toks) > 0 GROUP BY doc_id""",
 )
 def text_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SHA-256 of a document's verse lines in numeric verse order."""
-    lines = verse_lines(table(spark, sf_dir, "documents"))
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct("v", "line"))), lambda x: x["line"])
-    return lines.groupBy("doc_id").agg(F.sha2(F.array_join(ordered, "\n"), 256).alias("fp"), F.count("*").alias("n_lines"))
+    """X23 of documents as chapters: SHA-256 of the verse lines in order.
+
+    A document is one row, so its lines are numbered, cut and joined within it; nothing is shuffled.
+    """
+    toks = F.transform(F.split("text", "\n"), lambda line, k: F.struct((k + 1).alias("v"), F.regexp_extract_all(line, F.lit(r"[\p{L}\p{M}]+"), F.lit(0)).alias("t")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.filter(toks, lambda x: F.size(x["t"]) > 0).alias("lines")).where(F.size("lines") > 0)
+    text = F.array_join(F.transform("lines", lambda x: F.concat(x["v"].cast("string"), F.lit(":"), F.array_join(x["t"], " "))), "\n")
+    return docs.select("doc_id", F.sha2(text, 256).alias("fp"), F.size("lines").cast("bigint").alias("n_lines"))
 
 
 from lectern.plans import catalog_rollups, catalog_texts  # noqa: E402,F401  they register their queries

@@ -10,33 +10,35 @@ from lectern.session import table
 from lectern.sinks import documents
 
 
-@query("textual_basis", """WITH v AS (SELECT user_id AS id, CASE event_id % 5 WHEN 0 THEN ' ' WHEN 1 THEN '[x]' ELSE CASE WHEN user_id % 3 = 0 THEN '' ELSE event_type END END AS text, event_id % 4 = 0 AS tr_only FROM events WHERE event_id % 6 = 0 OR user_id % 2 = 0),
-c AS (SELECT id, count(*) AS checked, count(*) FILTER (trim(text) <> '' AND text <> '[x]') AS present, count(*) FILTER (text = '[x]') AS bracketed, count(*) FILTER (tr_only) AS tr_checked, count(*) FILTER (tr_only AND trim(text) <> '' AND text <> '[x]') AS tr_present FROM v GROUP BY 1)
+@query("textual_basis", r"""WITH v AS (SELECT user_id * 6 + event_id % 6 AS id, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 5 = 0 THEN chr(10) || ' ' WHEN event_id % 5 = 1 THEN ['[x]', ' (y', '【z】 t'][event_id % 3 + 1] WHEN user_id % 3 = 0 THEN '' WHEN user_id % 7 = 1 AND event_id % 5 < 4 THEN '' ELSE event_type END AS text, event_id % 4 = 0 AS tr_only FROM events),
+c AS (SELECT id, count(*) AS checked, count(*) FILTER (b = 0) AS present, count(*) FILTER (b = 1) AS bracketed, count(*) FILTER (tr_only) AS tr_checked, count(*) FILTER (tr_only AND b = 0) AS tr_present FROM (SELECT *, CASE WHEN regexp_matches(text, '^\s*[\[(【]') THEN 1 WHEN regexp_matches(text, '^\s*$') THEN 2 ELSE 0 END AS b FROM v WHERE text IS NOT NULL) GROUP BY 1)
 SELECT *, CASE WHEN checked < 8 THEN 'indeterminate' WHEN bracketed >= 3 AND present / checked < 0.5 THEN 'mixed' WHEN present / checked < 0.2 THEN 'critical' WHEN tr_checked > 0 AND tr_present * 2 >= tr_checked THEN 'tr' WHEN present / checked >= 0.6 THEN 'byzantine' ELSE 'mixed' END AS verdict FROM c""")
 def textual_basis(spark, sf_dir):
     """The textual basis by diagnostic verses."""
-    e, k = table(spark, sf_dir, "events").where("event_id % 6 = 0 OR user_id % 2 = 0"), F.col("event_id") % 5
-    text = F.when(k == 0, " ").when(k == 1, "[x]").when(F.col("user_id") % 3 == 0, "").otherwise(F.col("event_type"))
-    return verdicts.textual_basis(e.select(F.col("user_id").alias("id"), text.alias("text"), (F.col("event_id") % 4 == 0).alias("tr_only")))
+    e, k = table(spark, sf_dir, "events"), F.col("event_id") % 5
+    doubtful = F.get(F.array(F.lit("[x]"), F.lit(" (y"), F.lit("【z】 t")), (F.col("event_id") % 3).cast("int"))
+    text = F.when(F.col("event_id") % 17 == 0, None).when(k == 0, "\n ").when(k == 1, doubtful).when(F.col("user_id") % 3 == 0, "").when((F.col("user_id") % 7 == 1) & (k < 4), "").otherwise(F.col("event_type"))
+    return verdicts.textual_basis(e.select((F.col("user_id") * 6 + F.col("event_id") % 6).alias("id"), text.alias("text"), (F.col("event_id") % 4 == 0).alias("tr_only")))
 
 
-@query("psalm_titles", """WITH p AS (SELECT o_custkey AS id, CASE o_orderstatus WHEN 'P' THEN NULL ELSE o_orderstatus = 'F' END AS numbered, CASE o_orderkey % 3 WHEN 0 THEN 'heading' WHEN 1 THEN 'note' END AS marked FROM orders WHERE o_orderkey % 4 = 0)
+@query("psalm_titles", """WITH p AS (SELECT o_custkey AS id, CASE WHEN o_orderstatus = 'P' THEN NULL WHEN o_custkey % 5 < 3 THEN o_custkey % 5 = 0 ELSE o_orderstatus = 'F' END AS numbered, CASE WHEN o_custkey % 5 = 2 THEN NULL WHEN o_orderkey % 3 = 0 AND o_custkey % 2 = 0 THEN 'heading' WHEN o_orderkey % 3 = 1 THEN 'note' END AS marked FROM orders)
 SELECT id, CASE WHEN bool_or(numbered) AND bool_or(NOT numbered) THEN 'mixed' WHEN bool_or(numbered) THEN 'numbered' WHEN coalesce(bool_or(marked = 'heading'), false) THEN 'heading' WHEN coalesce(bool_or(marked = 'note'), false) THEN 'note' ELSE 'unmarked' END AS titles
 FROM p WHERE numbered IS NOT NULL GROUP BY 1""")
 def psalm_titles(spark, sf_dir):
     """How titles are set."""
-    o, k = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0"), F.col("o_orderkey") % 3
-    p = o.select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus") == "F").alias("numbered"), F.when(k == 0, "heading").when(k == 1, "note").alias("marked"))
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 3
+    c = F.col("o_custkey")
+    p = o.select(F.col("o_custkey").alias("id"), F.when(F.col("o_orderstatus") == "P", None).when(c % 5 < 3, c % 5 == 0).otherwise(F.col("o_orderstatus") == "F").alias("numbered"), F.when(c % 5 == 2, None).when((k == 0) & (c % 2 == 0), "heading").when(k == 1, "note").alias("marked"))
     return verdicts.title_class(p)
 
 
-@query("text_route", """WITH f AS (SELECT p_brand AS id, list(DISTINCT CASE p_size % 23 WHEN 0 THEN 'j' WHEN 1 THEN 'u' WHEN 2 THEN 'pl' ELSE 'x' END) AS f, max(CASE WHEN p_size % 46 = 1 THEN 'usx' END) AS o FROM part WHERE p_partkey % 20 < 3 GROUP BY 1)
+@query("text_route", """WITH f AS (SELECT p_type || p_brand || p_partkey % 40 AS id, list(DISTINCT CASE p_size % 23 WHEN 0 THEN 'j' WHEN 1 THEN 'u' WHEN 2 THEN 'pl' ELSE 'x' END) AS f, max(CASE WHEN p_size % 46 = 1 THEN 'usx' END) AS o FROM part GROUP BY 1)
 SELECT id, CASE WHEN o = 'usx' AND list_contains(f, 'u') THEN 'usx' WHEN list_contains(f, 'j') THEN 'sofria' WHEN list_contains(f, 'u') THEN 'usx' WHEN list_contains(f, 'pl') THEN 'plain' END AS route FROM f""")
 def text_route(spark, sf_dir):
     """The reading route."""
-    p, k = table(spark, sf_dir, "part").where("p_partkey % 20 < 3"), F.col("p_size") % 23
+    p, k = table(spark, sf_dir, "part"), F.col("p_size") % 23
     kind = F.when(k == 0, "j").when(k == 1, "u").when(k == 2, "pl").otherwise("x")
-    f = p.groupBy(F.col("p_brand").alias("id")).agg(F.collect_set(kind).alias("f"), F.max(F.when(F.col("p_size") % 46 == 1, "usx")).alias("o"))
+    f = p.groupBy(F.concat("p_type", "p_brand", (F.col("p_partkey") % 40).cast("string")).alias("id")).agg(F.collect_set(kind).alias("f"), F.max(F.when(F.col("p_size") % 46 == 1, "usx")).alias("o"))
     return f.select("id", verdicts.text_route(F.col("f"), F.col("o")).alias("route"))
 
 

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.operators import compare, refs, rollups, text
+from lectern.operators import compare, refs, rollups, scripts, text
 from lectern.sources import tables
 from lectern.streaming import ingest, windows
 
@@ -38,11 +38,11 @@ def test_similarity(a, b):
 
 def test_forms_and_scripts():
     assert [text.normal_form(x) for x in ("abc", "é", "é", "éé")] == ["none", "NFC", "NFD", "mixed"]
-    assert text.merged_form(["none", "NFC"]) == "NFC" and text.merged_form(["NFD", "NFC"]) == "mixed" and text.merged_form([]) == "none"
-    assert text.detect_script({"Hiragana": 5, "Cjk": 5})[0] == "Jpan"
-    assert text.detect_script({"Hangul": 5, "Cjk": 1})[0] == "Kore"
-    assert text.detect_script({"Latin": 97, "Greek": 3}) == ("Latin", ["Latin", "Greek"])
-    assert text.detect_script({"Latin": 999, "Greek": 1}) == ("Latin", []) and text.detect_script({}) == (None, [])
+    assert scripts.merged_form(["none", "NFC"]) == "NFC" and scripts.merged_form(["NFD", "NFC"]) == "mixed" and scripts.merged_form([]) == scripts.merged_form(["none"]) == "NFC"
+    assert scripts.detect_script({"Hira": 5, "Hani": 5})[0] == "Jpan"
+    assert scripts.detect_script({"Hang": 5, "Hani": 1})[0] == "Kore"
+    assert scripts.detect_script({"Latn": 97, "Grek": 3, "Zyyy": 500}) == ("Latn", ["Latn", "Grek"])
+    assert scripts.detect_script({"Latn": 999, "Grek": 1}) == ("Latn", []) and scripts.detect_script({}) == (None, [])
     assert [text.letter_index(n) for n in (0, 25, 26, 701, 702)] == ["a", "z", "aa", "zz", "aaa"]
 
 
@@ -53,12 +53,22 @@ def test_diagnosis():
     assert compare.category("abc", "abc", 1.0) == "likely_dialect_variant"
     block = "the quick brown fox jumps over it"
     assert compare.category(block + "one" + block, "one" + block, 0.6) == "likely_source_duplication"
+    # Vectors worked out by hand from the rule: floors, known pairs, a hunk that stands once, an insertion.
+    assert compare.category("abcdefghij" * 6, "abcdefghiz" + "abcdefghij" * 5, 0.6) == "likely_orthography_convention"
+    assert compare.category("abcdefghij" * 6, "abcdefghiz" + "abcdefghij" * 5, 0.4) == "likely_distinct_translation"
+    sounds = "".join(f"k{c}ʉt" for c in "bcdfghjk")
+    assert compare.category(sounds, sounds.replace("ʉ", "u"), 0.75) == "likely_phonemic_distinction"
+    assert not compare.repeats_itself(block + "one", "one", text.edits(block + "one", "one"))
+    assert compare.replaced_score("abab", "axbaxb", ("", "x")) == text.similarity("abab", "axbaxb")
+    wide = [chr(0x400 + k) for k in range(60)]
+    assert compare.category("".join(wide), "".join(w + chr(0x500 + k) for k, w in enumerate(wide)), 0.84) == "likely_distinct_translation"
+    assert compare.category("".join(wide), "".join(w + chr(0x500 + k) for k, w in enumerate(wide)), 0.85) == "likely_dialect_variant"
 
 
 def test_tiers_and_bitrate(spark):
-    df = spark.createDataFrame([(1.0, "128kbps"), (0.99, "x"), (0.6, " 64 KBPS"), (0.1, None), (None, "kbps")], "s double, b string")
+    df = spark.createDataFrame([(1.0, "128kbps"), (0.99, "x"), (0.6, " 64kbps"), (0.6, "64 KBPS"), (0.1, None), (None, "kbps")], "s double, b string")
     out = df.select(rollups.score_tier(F.col("s")).alias("t"), rollups.bitrate(F.col("b")).alias("n")).collect()
-    assert [(r.t, r.n) for r in out] == [("identical", 128), ("near_identical", None), ("uncertain", 64), ("distinct", None), (None, None)]
+    assert [(r.t, r.n) for r in out] == [("identical", 128), ("near_identical", None), ("uncertain", 64), ("uncertain", None), ("distinct", None), (None, None)]
 
 
 def test_refs(spark):
@@ -72,6 +82,15 @@ def test_refs(spark):
         refs.parse_shapes(spark.createDataFrame([("AAA x",)], "value string"), strict=True).collect()
 
 
+def test_checksum_weighs_each_book_alone(spark):
+    counts = [("a", "GEN", 107, 3), ("a", "EXO", 107, 3), ("a", "PSA", 90, 150), ("b", "GEN", 121, 3), ("b", "PSA", 100, 152), ("c", "PSA", 121, 152), ("d", "TOB", 900, 9), ("e", "GEN", None, 3), ("f", "GEN", 100, 9)]
+    ref = [("GEN", 100, 3), ("EXO", 100, 3), ("PSA", 100, 150)]
+    out = refs.checksum(spark.createDataFrame(counts, "id string, book string, verses bigint, chapters bigint"), spark.createDataFrame(ref, "book string, ref_verses bigint, ref_chapters bigint"))
+    assert {r.id: (r.worst, r.flagged, r.ok) for r in out.collect()} == {
+        "a": (0, [], True), "b": (200, ["GEN v+21", "PSA ch+2"], False), "c": (21, ["PSA v+21"], False), "d": (0, [], True), "e": (0, [], True), "f": (0, [], True),
+    }
+
+
 def test_crosswalk_and_offsets(spark):
     r = spark.createDataFrame([("DAG", 1, "a"), ("DAG", 13, "b"), ("ESG", 2, "c"), ("GEN", 1, "d"), ("XXX", 1, "e")], "book string, chapter int, id string")
     rules = spark.createDataFrame([("DAG", "DAN", 0, None, None), ("ESG", "EST", 0, 2, 10), ("XXX", None, 0, None, None)], "book string, to string, chapter_offset int, only_chapter int, to_chapter int")
