@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 SLICE_ROWS = 256
 #: Rows of an Arrow batch that the JVM sends to a worker.
 BATCH_ROWS = 1024
+#: Keys that hold more than this share of a join's rows are spread over tasks; there are at most 1 / HOT of them.
+HOT, SPREAD = 1 / 2000, 64
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -63,6 +66,28 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path in the shared folder, and the path in it."""
+    return pyarrow.fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pyarrow.fs.LocalFileSystem(), uri)
+
+
+def join_spread(rows: DataFrame, small: DataFrame, on: list[str], total: int, spread: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with ``small``, which has one row for each key and, as ``n``, the number of its rows among ``rows``.
+
+    The rows of a key that holds more than HOT of all ``total`` rows are dealt to SPREAD parts by the
+    columns ``spread``, and that key's row of ``small`` goes to each of them.  Only hot keys are
+    broadcast, 1 / HOT at most.  ``n`` is left out of the result.
+    """
+    part = F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))
+    cutoff = total * HOT
+    hot = F.broadcast(small.where(F.col("n") > cutoff).select(*[F.col(c).alias(f"__hot_{c}") for c in on]))
+    is_hot = F.col(f"__hot_{on[0]}").isNotNull()
+    dealt = rows.join(hot, [F.col(c) == F.col(f"__hot_{c}") for c in on], "left")
+    dealt = dealt.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SPREAD))).otherwise(0)).drop(*[f"__hot_{c}" for c in on])
+    copies = small.withColumn("__salt", F.explode(F.when(F.col("n") > cutoff, part).otherwise(F.array(F.lit(0).cast("bigint"))))).drop("n")
+    return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The same rows in small batches, so that few of them are Python objects at once."""
     for batch in batches:
@@ -98,32 +123,29 @@ def map_rows(df: DataFrame, rows: Callable[..., tuple], schema: str, setup: Call
     return in_arrow(df, run, types)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (u, v, both long): rows (node, label), label the least node.
 
     Alternates large-star and small-star steps.  A node's neighbours are never brought
     together: each step takes a minimum per node (pre-aggregated before the shuffle) and joins
-    it back, a join that adaptive execution can split where a node is hot.  Every round is
-    written to the shared folder.  Raises if it has not settled after ``rounds`` rounds.
+    it back, the rows of a hot node spread over tasks.  Every round is written to the shared
+    folder, and the one before is deleted; rounds go on until nothing changes.
     """
     now = written(_canonical(edges.select("u", "v")), "edges")
     mark = _state(now)
-    for _ in range(rounds):
-        if not mark[0]:
-            break
+    while mark[0]:
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_spread(both, least, ["u"], 2 * mark[0], ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = _canonical(large)
-        down = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(down, "u")
+        down = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = join_spread(large, down, ["u"], mark[0], ["v"])
         small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = written(_canonical(small), "edges")
+        old, now = now, written(_canonical(small), "edges")
+        discard(old)
         before, mark = mark, _state(now)
         if mark == before:
             break
-    else:
-        raise RuntimeError("components have not settled")
     return now.select(F.col("u").alias("node"), F.col("v").alias("label")).union(now.select(F.col("v"), F.col("v")).distinct())
 
 

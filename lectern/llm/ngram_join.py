@@ -13,7 +13,7 @@ the overlap with a query is counted once for all sets below a node, and a subtre
 the elements that remain cannot bring the overlap to the least that its sets need, or all its sets
 are known to be linked with the query already.
 
-Blocks of more than BLOCK sets are reduced first: every set is compared with one leading set of its
+Blocks of more than BLOCK sets, or BLOCK_ELEMENTS elements, are reduced first: every set is compared with one leading set of its
 block, by a join, and only those not linked with it are compared, in square cells of bounded size,
 with all others.  Sets that are identical are one set throughout; the copies are rows of the
 membership alone.  Linked sets become classes by distributed connected components.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import components, in_arrow, slices, written
+from lectern.llm.common import components, in_arrow, join_spread, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
@@ -41,8 +41,9 @@ COMMON = 2.0**-18
 SAMPLE = 4 / 3
 #: Shingles whose common ones are counted together in a task.
 COUNTED = 1 << 22
-#: Sets of a block, and of one side of a cell.
+#: Sets of a block, and of one side of a cell; elements of these, over all their sets.
 BLOCK, CELL = 2000, 500
+BLOCK_ELEMENTS, CELL_ELEMENTS = 1 << 22, 1 << 21
 #: Distinct words whose hashes a worker keeps.
 WORDS = 400_000
 
@@ -405,21 +406,27 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among ``sets`` (sid, block, elements, members, lead): block by block."""
+    """Links (u, v) among ``sets`` (sid, block, elements, members, lead), a written table: block by block."""
     none = F.lit(0)
-    small = sets.where(F.col("members") <= BLOCK).select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements")
+    held = sets.groupBy("block").agg(F.sum(F.size("elements")).alias("held"), F.count("*").alias("n"))
+    big = written(held.where((F.col("held") > BLOCK_ELEMENTS) | (F.col("n") > BLOCK)).select("block", "n"), "big")
+    total = sets.count()
+    if big.isEmpty():
+        return _cells(sets.select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements"), percent)
+    small = sets.join(big, "block", "left_anti").select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements")
     links = _cells(small, percent)
-    large = sets.where(F.col("members") > BLOCK)
-    if large.isEmpty():
-        return links
-    lead = large.where("sid = lead").select("block", F.col("elements").alias("lead_elements"))
+    leads = written(sets.where("sid = lead").select("block", F.col("elements").alias("lead_elements")).join(big, "block"), "leads")
     both = F.size(F.array_intersect("elements", "lead_elements"))
     near = 100 * both >= percent * (F.size("elements") + F.size("lead_elements") - both)
-    marked = written(large.join(lead, "block").select("block", "sid", "lead", "elements", near.alias("linked")), "led")
+    large = join_spread(sets.drop("members"), leads, ["block"], total, ["sid"])
+    marked = written(large.select("block", "sid", "lead", "elements", near.alias("linked")), "led")
     links = links.union(marked.where("linked AND sid != lead").select("sid", "lead"))
-    rest = marked.groupBy("block").agg(F.count_if(~F.col("linked")).alias("r"), F.count_if("linked").alias("k")).where("r > 0")
-    gr, gk = F.ceil(F.col("r") / CELL).cast("int"), F.ceil(F.col("k") / CELL).cast("int")
-    dealt = marked.join(rest, "block").withColumn("sub", F.pmod(F.xxhash64("sid"), F.when(F.col("linked"), gk).otherwise(gr)).cast("int"))
+    # How many parts each kind is dealt to: by its sets and by their elements.
+    parts = lambda own: F.ceil(F.greatest(F.count_if(own) / CELL, F.sum(F.when(own, F.size("elements")).otherwise(0)) / CELL_ELEMENTS)).cast("int")
+    linked = F.col("linked")
+    rest = written(marked.groupBy("block").agg(parts(~linked).alias("gr"), parts(linked).alias("gk"), F.count("*").alias("n")).where("gr > 0"), "rest")
+    gr, gk = F.col("gr"), F.col("gk")
+    dealt = join_spread(marked, rest, ["block"], total, ["sid"]).withColumn("sub", F.pmod(F.xxhash64("sid"), F.when(linked, gk).otherwise(gr)).cast("int"))
     others = F.sequence(F.lit(0), gr - 1)
     # A row that is not linked meets all others of its kind and all linked ones; cells (i, j) with j from gr on hold the latter.
     own = F.concat(
@@ -427,7 +434,7 @@ def _block_links(sets: DataFrame, percent: int) -> DataFrame:
         F.transform(F.when(gk > 0, F.sequence(gr, gr + gk - 1)).otherwise(F.array().cast("array<int>")), lambda j: F.struct(F.col("sub").alias("ci"), j.alias("cj"))),
     )
     of_linked = F.transform(others, lambda i: F.struct(i.alias("ci"), (F.col("sub") + gr).cast("int").alias("cj")))
-    cells = dealt.select("block", "sid", "linked", "elements", F.explode(F.when(F.col("linked"), of_linked).otherwise(own)).alias("c"))
+    cells = dealt.select("block", "sid", "linked", "elements", F.explode(F.when(linked, of_linked).otherwise(own)).alias("c"))
     return links.union(_cells(cells.select("block", "c.ci", "c.cj", "sid", "linked", "elements"), percent))
 
 
@@ -452,7 +459,7 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     """``near_classes`` with the hash of each row's text."""
     for seed in range(0, 50, 10):
         rows, common = _signatures(docs, n, seed)
-        sets = written(rows.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("chk").alias("a"), F.max("chk").alias("b")), "sets")
+        sets = written(rows.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("chk").alias("a"), F.max("chk").alias("b"), F.count("*").alias("n")), "sets")
         if sets.where("a != b").isEmpty():
             break
     else:
@@ -463,7 +470,9 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     each = written(_prefixes(written(_heads(docs, shingler, percent), "heads"), percent), "prefixes")
     each = each.select("sid", "element", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
     shared = each.groupBy("element", "cell").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("held")).where("first != last")
-    stars = written(each.join(shared, ["element", "cell"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
+    shared = written(shared.select("element", "cell", "first", "held", F.col("held").alias("n")), "shared")
+    prefixes = shared.agg(F.sum("n")).first()[0] or 0
+    stars = written(join_spread(each, shared, ["element", "cell"], prefixes, ["sid"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
     node = lambda c: F.xxhash64(c, "cell")  # noqa: E731  should two nodes get one number, their blocks are one
     blocks = components(stars.select(node("sid").alias("u"), node("first").alias("v")))
     weight = stars.groupBy("sid", "cell").agg(F.sum("weight").alias("weight")).withColumn("node", node("sid"))
@@ -480,10 +489,10 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     class_of = labels.join(sets, F.col("node") == F.col("sid")).select("sid", "label", "least")
     least = class_of.groupBy("label").agg(F.min("least").alias("component"))
     class_of = class_of.join(least, "label").select("sid", "component")
-    named = sets.join(class_of, "sid", "left").select("sid", F.coalesce("component", "least").alias("component"))
-    return rows.join(named, "sid", "left").select(
-        "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "text_hash"
-    )
+    named = written(sets.join(class_of, "sid", "left").select("sid", F.coalesce("component", "least").alias("component"), "n"), "named")
+    whole = join_spread(rows.where("size > 0"), named, ["sid"], named.agg(F.sum("n")).first()[0] or 0, ["doc_id", "text_hash"])
+    own = ["doc_id", F.col("size").alias("n_shingles")]
+    return whole.select(*own, "component", "text_hash").union(rows.where("size = 0").select(*own, "doc_id", "text_hash")).withColumnRenamed("component", "component_id")
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, in_arrow, slices, written
+from lectern.llm.common import discard, in_arrow, join_spread, slices, written
 
 #: What ends a sentence, beside the line end: ASCII, full-width, Arabic and Indic signs.
 STOPS = ".!?,;:。！？，；：、؟،؛।"
@@ -33,8 +33,6 @@ BLANK = " \t\n\x0b\x0c\r"
 LONG = 8
 #: Sentences and words that a run holds at least.
 SENTENCES, WORDS = 3, 15
-#: Runs that make up more than this share of all are spread over tasks; there are at most 1 / HOT of them.
-HOT, SPREAD = 1 / 2000, 64
 
 _WORD = re.compile(rf"[{BLANK}]*[^{BLANK}]+|[{BLANK}]+")
 _ODD = np.array([0x9E3779B97F4A7C17, 0xD6E8FEB86659FD93], np.uint64)
@@ -126,23 +124,13 @@ def covered(counts: list[int], places, least: int, words: int) -> set[int]:
     return {k for p in places for k in range(p, ends[p])}
 
 
-def _spread(rows: DataFrame) -> DataFrame:
-    """``rows`` with a salt: over SPREAD parts where ``hot``, else 0."""
-    return rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "text_hash", "pos"), F.lit(SPREAD))).otherwise(0))
-
-
-def _repeated(rows: DataFrame) -> DataFrame:
-    """``rows``, one a run or a hot one's part, for every salt that rows of it may have."""
-    return rows.withColumn("salt", F.explode(F.when(F.col("hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))).otherwise(F.array(F.lit(0).cast("bigint")))))
-
-
 def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
     """(doc_id, text_hash, starts): the places (see ``spans_of``) of runs that stand elsewhere before.
 
     A document is a doc_id and a text; rows that repeat both are one document.  The first place of
     a run is that of the least (doc_id, text hash, place), null ids last.  One half of the hashes is
     counted first, by partial sums; only runs met more than once go on with both halves and their
-    places, and the rows of a run that makes up a large share of all go to SPREAD tasks.
+    places, and the rows of a run that makes up a large share of all are spread over tasks.
     """
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,20 +144,16 @@ def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     kind = docs.schema["doc_id"].dataType.simpleString()
     named = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     spans = written(named.transform(in_arrow, hashes, f"doc_id {kind}, text_hash bigint, pos array<int>, a array<bigint>, b array<bigint>"), "spans")
-    met = written(spans.select(F.explode("a").alias("a")).groupBy("a").count().where("count > 1"), "met")
+    met = written(spans.select(F.explode("a").alias("a")).groupBy("a").agg(F.count("*").alias("n")).where("n > 1"), "met")
     runs = spans.agg(F.sum(F.size("a"))).first()[0] or 0
-    hot = F.broadcast(met.where(F.col("count") > runs * HOT).select(F.col("a").alias("hot_a")))  # at most 1 / HOT rows
-
     each = spans.select("doc_id", "text_hash", F.inline(F.arrays_zip("pos", "a", "b")))
-    each = _spread(each.join(hot, F.col("a") == F.col("hot_a"), "left").withColumn("hot", F.col("hot_a").isNotNull()).drop("hot_a"))
-    keys = _repeated(met.select("a", (F.col("count") > runs * HOT).alias("hot"))).drop("hot")
-    again = written(each.join(keys, ["a", "salt"], "left_semi"), "again")
+    again = written(join_spread(each, met, ["a"], runs, ["doc_id", "text_hash", "pos"], "left_semi"), "again")
     discard(spans, met)
 
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "pos")
-    first = again.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.max("hot").alias("hot"))
-    first = _repeated(first.where("first != last").select("a", "b", "first", "hot")).drop("hot")
-    later = again.join(first, ["a", "b", "salt"]).where(place != F.col("first"))
+    first = again.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
+    first = written(first.where("first != last").select("a", "b", "first", "n"), "first")
+    later = join_spread(again, first, ["a", "b"], runs, ["doc_id", "text_hash", "pos"]).where(place != F.col("first"))
     return later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts"))
 
 

@@ -20,12 +20,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import in_arrow, new_path, slices, written
+from lectern.llm.common import filesystem, in_arrow, new_path, slices, written
 from lectern.llm.tokens import encoder
 
 MAGIC = b"EFT1"
@@ -94,16 +93,12 @@ class EliasFano:
         return [self.low.tobytes(), self.high.tobytes(), self.samples.tobytes()]
 
 
-def _filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    return pyarrow.fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pyarrow.fs.LocalFileSystem(), uri)
-
-
 class ShardWriter:
     """Writes a shard: ids as they come, boundaries and document ids at the end."""
 
     def __init__(self, uri: str, width: int) -> None:
         self.width, self.bounds, self.keys, self.nulls = width, [0], [], 0
-        fs, path = _filesystem(uri)
+        fs, path = filesystem(uri)
         fs.create_dir(os.path.dirname(path), recursive=True)
         self.file = fs.open_output_stream(path)
         self.file.write(MAGIC + struct.pack("<I", width))
@@ -138,7 +133,7 @@ class ShardReader:
     """Reads a shard: any document by select, or all in blocks."""
 
     def __init__(self, uri: str) -> None:
-        fs, path = _filesystem(uri)
+        fs, path = filesystem(uri)
         self.file = fs.open_input_file(path)
         size = self.file.size()
         magic, self.width, self.documents, self.ids, self.nulls, self.base, _, *rest = _FOOTER.unpack(self.file.read_at(_FOOTER.size, size - _FOOTER.size))

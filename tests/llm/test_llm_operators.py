@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lectern.llm import bpe, chat, common, exact_dedup, langid, licenses, ngram_join, packing, quality, sentence_spans, token_files, tokens
@@ -186,6 +187,20 @@ def test_ngram_join_is_exact(make, monkeypatch, n, percent, block, cell):
     assert got == _brute(rows, n, percent)
 
 
+def test_ngram_join_of_very_long_texts(make, monkeypatch):
+    # Few sets, but more elements than a block and a cell may have; the keys of both are hot.
+    monkeypatch.setattr(ngram_join, "BLOCK_ELEMENTS", 3000)
+    monkeypatch.setattr(ngram_join, "CELL_ELEMENTS", 1500)
+    monkeypatch.setattr(common, "HOT", 1 / 10)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(5000)}" for _ in range(30_000)]
+    change = lambda n: " ".join(f"x{k}" if k % (30_000 // n) == 7 else w for k, w in enumerate(base))
+    rows = [(1, " ".join(base)), (2, change(300)), (3, change(900)), (4, change(4000)), (5, change(300)), (6, " ".join(base[:15_000])), (7, " ".join(base))]
+    rows += [(k, " ".join(base[100 * k : 100 * k + 60])) for k in range(10, 40)] + [(k, " ".join(base[100 * (k - 50) : 100 * (k - 50) + 59])) for k in range(60, 90)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(make(rows), 4, 85).collect()}
+    assert got == _brute(rows, 4, 85)
+
+
 def test_ngram_join_edges(make):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(5, text), (5, text), (None, text), (7, text + " more"), (None, "alone here now and then")]
@@ -247,8 +262,6 @@ def test_quality_measures(make):
 def test_binomial_tail(spark):
     from math import comb
 
-    from pyspark.sql import functions as F
-
     rows = [(k, n) for n in (1, 20, 300, 5000) for k in (0, 1, 3, 40) if k <= n]
     got = spark.createDataFrame(rows, "k bigint, n bigint").select("k", "n", quality.binomial_tail(F.col("k"), F.col("n"), 0.025).alias("p")).collect()
     for r in got:
@@ -487,7 +500,7 @@ def test_pasted_passages_and_short_sentences(make):
 
 
 def test_hot_runs_and_a_very_long_text(spark, monkeypatch):
-    monkeypatch.setattr(sentence_spans, "HOT", 1 / 4)
+    monkeypatch.setattr(common, "HOT", 1 / 4)
     line = "The same line of many words stands here and there, in all the texts of one source, and goes on.\n"
     rows = [(k, line * 5 + f"own {k}") for k in range(50)] + [(99, line * 20_000)]
     got = {r.doc_id: r for r in sentence_spans.cut_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)).collect()}
@@ -518,6 +531,48 @@ def test_exact_dedup_brute_force(make):
     assert exact_dedup.exact_groups(make([])).count() == 0 and exact_dedup.drop_copies(make([])).count() == 0
 
 
+def _entries(rows):
+    out = np.zeros(len(rows), exact_dedup.ENTRY)
+    for k, (digest, chars, doc_id) in enumerate(rows):
+        out[k] = (*digest, -chars, doc_id is None, doc_id or 0, k, 1)
+    return out
+
+
+def test_runs_are_merged_block_by_block(tmp_path, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BLOCK", 3)
+    rng = random.Random(8)
+    # First numbers that collide, so that blocks begin and end with the same one, and the whole range.
+    digests = [(rng.choice([0, 1, 5, 5, 5, 1 << 63, (1 << 64) - 1]), rng.randrange(3), 0, rng.randrange(2)) for _ in range(30)]
+    rows = [(rng.choice(digests), rng.randrange(4), rng.choice([None, *range(9)])) for _ in range(300)]
+    every = _entries(rows)
+    files = [exact_dedup._write(str(tmp_path), iter([exact_dedup.folded(every[k::7])]))[0] for k in range(7)]
+    want = {}
+    for e in every:
+        key, best = tuple(e)[:4], tuple(e)[4:8]
+        old = want.get(key, (best, 0))
+        want[key] = (min(old[0], best), old[1] + 1)
+    for parts in (1, 4):
+        got = []
+        for part in range(parts):
+            got += [e for b in exact_dedup.merged([exact_dedup.RunReader(f, (part << 64) // parts, (part + 1 << 64) // parts) for f in files]) for e in b]
+        assert [tuple(e)[:4] for e in got] == sorted(want)
+        assert {tuple(e)[:4]: (tuple(e)[4:8], e["n"]) for e in got} == want
+    assert list(exact_dedup.merged([])) == []
+
+
+def test_hot_texts_and_very_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT", 1 / 4)
+    monkeypatch.setattr(exact_dedup, "RUN", 50)
+    long = "word " * 400_000
+    rows = [(k, "same text" if k % 3 else f"own {k}") for k in range(900)] + [(1000, long), (1001, long + " ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(9)
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_dedup.exact_groups(docs).collect()}
+    assert got[5] == (1, 600, False) and got[1] == (1, 600, True) and got[3] == (3, 1, True) and got[1000] == (1001, 2, False)
+    assert exact_dedup.drop_copies(docs).count() == 302
+    with pytest.raises(TypeError):
+        exact_dedup.exact_groups(docs.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_tree_merge_with_many_runs(spark):
     rows = [(k, f"text {k % 37}") for k in range(2000)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(70)
