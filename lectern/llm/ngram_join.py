@@ -477,9 +477,9 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     blocks = components(stars.select(node("sid").alias("u"), node("first").alias("v")))
     weight = stars.groupBy("sid", "cell").agg(F.sum("weight").alias("weight")).withColumn("node", node("sid"))
     members = written(blocks.join(weight, "node").select("sid", F.col("label").alias("block"), "weight"), "members")
-    counts = members.groupBy("block").agg(F.count("*").alias("members"), F.max_by("sid", F.struct("weight", "sid")).alias("lead"))
+    counts = written(members.groupBy("block").agg(F.count("*").alias("members"), F.max_by("sid", F.struct("weight", "sid")).alias("lead"), F.count("*").alias("n")), "counts")
 
-    of_set = members.join(counts, "block").groupBy("sid").agg(F.collect_list(F.struct("block", "members", "lead")).alias("blocks"))  # two at most
+    of_set = join_spread(members, counts, ["block"], counts.agg(F.sum("n")).first()[0] or 0, ["sid"]).groupBy("sid").agg(F.collect_list(F.struct("block", "members", "lead")).alias("blocks"))  # two at most
     wanted = of_set.join(sets, "sid").select("sid", "blocks", F.col("least").alias("doc_id"))
     found = written(_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingler), "elements")
     found = found.select("sid", F.explode("blocks").alias("b"), "elements").select("sid", "b.*", "elements")
