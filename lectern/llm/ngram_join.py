@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import components, in_arrow, join_spread, slices, written
+from lectern.llm.common import components, discard, in_arrow, join_spread, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
@@ -116,8 +116,8 @@ def _identity(x: np.ndarray) -> tuple[int, int]:
     return xxhash.xxh3_64_intdigest(raw, 1) - (1 << 63), xxhash.xxh64_intdigest(raw, 2) - (1 << 63)
 
 
-def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarray]:
-    """Every row's set by name, and the common shingles.
+def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The table written, every row's set by name, and the common shingles.
 
     The table has a row per document (doc_id, sid, check, size, hash of the text) and, with a null sid, rows of
     shingles that are common within some COUNTED ones and their counts there.
@@ -155,7 +155,7 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, np.ndarr
     often = table.where("sid IS NULL").groupBy("shingle").agg(F.sum("size").alias("n")).where(F.col("n") > max(1.0, COMMON * total))
     # At most 1 / COMMON rows: each stands for more than that share of the total.
     common = np.array([r[0] for r in often.select("shingle").collect()], np.int64)
-    return rows, np.sort(common)
+    return table, rows, np.sort(common)
 
 
 def _lists(sets: list[np.ndarray]) -> pa.Array:
@@ -406,7 +406,7 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among ``sets`` (sid, block, elements, members, lead), a written table: block by block."""
+    """Links (u, v) among ``sets`` (sid, block, elements, members, lead): block by block."""
     none = F.lit(0)
     held = sets.groupBy("block").agg(F.sum(F.size("elements")).alias("held"), F.count("*").alias("n"))
     big = written(held.where((F.col("held") > BLOCK_ELEMENTS) | (F.col("n") > BLOCK)).select("block", "n"), "big")
@@ -456,43 +456,52 @@ def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
 
 
 def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """``near_classes`` with the hash of each row's text."""
+    """``near_classes`` with the hash of each row's text.  Tables go as soon as what is read from them is written."""
     for seed in range(0, 50, 10):
-        rows, common = _signatures(docs, n, seed)
+        signatures, rows, common = _signatures(docs, n, seed)
         sets = written(rows.where("size > 0").groupBy("sid").agg(F.min("doc_id").alias("least"), F.min("chk").alias("a"), F.max("chk").alias("b"), F.count("*").alias("n")), "sets")
         if sets.where("a != b").isEmpty():
             break
+        discard(signatures, sets)
     else:
         raise RuntimeError("names of sets collide")
     held = docs.sparkSession.sparkContext.broadcast(common)  # bounded by COMMON
     shingler = lambda: Shingler(n, seed, held.value)
+    total = lambda table: table.agg(F.sum("n")).first()[0] or 0
 
-    each = written(_prefixes(written(_heads(docs, shingler, percent), "heads"), percent), "prefixes")
-    each = each.select("sid", "element", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
+    heads = written(_heads(docs, shingler, percent), "heads")
+    prefixes = written(_prefixes(heads, percent), "prefixes")
+    discard(heads)
+    each = prefixes.select("sid", "element", F.explode(F.array("band", F.col("band") - 1)).alias("cell"))
     shared = each.groupBy("element", "cell").agg(F.min("sid").alias("first"), F.max("sid").alias("last"), F.count("*").alias("held")).where("first != last")
     shared = written(shared.select("element", "cell", "first", "held", F.col("held").alias("n")), "shared")
-    prefixes = shared.agg(F.sum("n")).first()[0] or 0
-    stars = written(join_spread(each, shared, ["element", "cell"], prefixes, ["sid"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
+    stars = written(join_spread(each, shared, ["element", "cell"], total(shared), ["sid"]).groupBy("sid", "cell", "first").agg(F.sum("held").alias("weight")), "stars")
+    discard(prefixes, shared)
     node = lambda c: F.xxhash64(c, "cell")  # noqa: E731  should two nodes get one number, their blocks are one
     blocks = components(stars.select(node("sid").alias("u"), node("first").alias("v")))
     weight = stars.groupBy("sid", "cell").agg(F.sum("weight").alias("weight")).withColumn("node", node("sid"))
     members = written(blocks.join(weight, "node").select("sid", F.col("label").alias("block"), "weight"), "members")
     counts = written(members.groupBy("block").agg(F.count("*").alias("members"), F.max_by("sid", F.struct("weight", "sid")).alias("lead"), F.count("*").alias("n")), "counts")
 
-    of_set = join_spread(members, counts, ["block"], counts.agg(F.sum("n")).first()[0] or 0, ["sid"]).groupBy("sid").agg(F.collect_list(F.struct("block", "members", "lead")).alias("blocks"))  # two at most
+    of_set = join_spread(members, counts, ["block"], total(counts), ["sid"]).groupBy("sid").agg(F.collect_list(F.struct("block", "members", "lead")).alias("blocks"))  # two at most
     wanted = of_set.join(sets, "sid").select("sid", "blocks", F.col("least").alias("doc_id"))
-    found = written(_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingler), "elements")
-    found = found.select("sid", F.explode("blocks").alias("b"), "elements").select("sid", "b.*", "elements")
+    elements = written(_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingler), "elements")
+    discard(stars, members, counts)
+    found = elements.select("sid", F.explode("blocks").alias("b"), "elements").select("sid", "b.*", "elements")
     links = written(_block_links(found, percent), "links")
+    discard(elements)
 
     labels = components(links)
     class_of = labels.join(sets, F.col("node") == F.col("sid")).select("sid", "label", "least")
     least = class_of.groupBy("label").agg(F.min("least").alias("component"))
     class_of = class_of.join(least, "label").select("sid", "component")
     named = written(sets.join(class_of, "sid", "left").select("sid", F.coalesce("component", "least").alias("component"), "n"), "named")
-    whole = join_spread(rows.where("size > 0"), named, ["sid"], named.agg(F.sum("n")).first()[0] or 0, ["doc_id", "text_hash"])
+    discard(sets, links)
+    whole = join_spread(rows.where("size > 0"), named, ["sid"], total(named), ["doc_id", "text_hash"])
     own = ["doc_id", F.col("size").alias("n_shingles")]
-    return whole.select(*own, "component", "text_hash").union(rows.where("size = 0").select(*own, "doc_id", "text_hash")).withColumnRenamed("component", "component_id")
+    classes = whole.select(*own, "component", "text_hash").union(rows.where("size = 0").select(*own, "doc_id", "text_hash")).withColumnRenamed("component", "component_id")
+    classes.read_from = [signatures, named]
+    return classes
 
 
 def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -501,6 +510,8 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     Rows without words stay, and so do rows with a null doc_id.  Of rows that share a doc_id only those
     go whose own text is near another's.
     """
-    gone = _classes(docs, n, percent).where("doc_id != component_id").select("doc_id", F.col("text_hash").alias("__hash")).distinct()
+    classes = _classes(docs, n, percent)
+    gone = written(classes.where("doc_id != component_id").select("doc_id", F.col("text_hash").alias("__hash")).distinct(), "gone")
+    discard(*classes.read_from)
     named = docs.withColumn("__hash", F.xxhash64("text"))
     return named.join(gone, ["doc_id", "__hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

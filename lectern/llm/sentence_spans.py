@@ -154,7 +154,9 @@ def repeated_spans(docs: DataFrame, least: int = SENTENCES, words: int = WORDS)
     first = again.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
     first = written(first.where("first != last").select("a", "b", "first", "n"), "first")
     later = join_spread(again, first, ["a", "b"], runs, ["doc_id", "text_hash", "pos"]).where(place != F.col("first"))
-    return later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts"))
+    starts = written(later.groupBy("doc_id", "text_hash").agg(F.collect_set("pos").alias("starts")), "starts")
+    discard(again, first)
+    return starts
 
 
 def cut_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) -> DataFrame:
