@@ -149,11 +149,16 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:
-    """The digests of ``encode_documents``, taken where the ids are made."""
+    """The digests of ``encode_documents``, taken where the ids are made: doc_id, n_tokens, ids_sha256, decoded_sha256.
+
+    A null or empty text has no ids, and the digests are those of nothing.  Repeated rows and null
+    ids stay as they are; other columns are not read; an empty table gives no rows.
+    """
 
     def rows(state, keys, texts):
         ids = [state(t) for t in texts]
         sha = lambda x: hashlib.sha256(x).hexdigest()
         return keys, [len(x) // 4 for x in ids], [sha(x) for x in ids], [sha(state.decode(x).encode()) for x in ids]
 
-    return map_rows(docs.select("doc_id", "text"), rows, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string", lambda: encoder(path, PrefixEncoder))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return map_rows(docs.select("doc_id", "text"), rows, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string", lambda: encoder(path, PrefixEncoder))

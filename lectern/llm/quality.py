@@ -108,9 +108,9 @@ def thresholds(measured: DataFrame, labels: DataFrame, false_rejections: float =
     grid = F.create_map(*[x for r, (_, cuts) in RULES.items() for x in (F.lit(r), F.array(*map(F.lit, cuts)))])
     each = counts.select("stratum", "rule", "value", "n", F.explode(grid[F.col("rule")]).alias("cutoff"))
     tested = each.groupBy("stratum", "rule", "cutoff").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("value") > F.col("cutoff"), F.col("n")).otherwise(0)).alias("k"))
-    strata = counts.agg(F.count_distinct("stratum").alias("strata"))
+    strata = held.agg(F.count_distinct("stratum")).first()[0]
     share = false_rejections / len(RULES)
-    passed = tested.crossJoin(F.broadcast(strata)).where(binomial_tail(F.col("k"), F.col("n"), share) <= F.lit(level) / (len(RULES) * F.col("strata")))  # of one row
+    passed = tested.where(binomial_tail(F.col("k"), F.col("n"), share) <= level / (len(RULES) * max(1, strata)))
     return passed.groupBy("stratum", "rule").agg(F.min("cutoff").alias("cutoff"))
 
 
@@ -118,7 +118,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", **risk) ->
     """doc_id, the base measures, base_failed and kept of every row of ``docs`` (doc_id, text and ``stratum``).
 
     kept is false where a base rule fails or a learned cutoff is passed.  Null strata are one
-    stratum.  Repeated rows are judged alike, each on its own; null doc_ids have no label.  Empty
+    stratum, together with empty ones.  Repeated rows are judged alike, each on its own; null doc_ids have no label.  Empty
     tables give no rows, and empty labels no cutoffs.
     """
     named = docs.select("doc_id", "text", F.coalesce(F.col(stratum).cast("string"), F.lit("")).alias("stratum"))

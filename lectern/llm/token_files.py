@@ -174,8 +174,12 @@ def write_shards(docs: DataFrame, path: str, end_id: int, folder: str | None = N
     Texts are dealt to shards by range of doc_id before they are encoded.  A task writes its own
     file, named by its attempt, so that a task that is run again leaves the files of others alone;
     the manifest names the files that count.  Returns it: shard, file, documents, ids, base (ids in
-    all shards before).  Null texts are empty: their documents hold ``end_id`` alone.
+    all shards before).  Null texts are empty: their documents hold ``end_id`` alone.  Rows that
+    repeat a doc_id are documents of their own, in the order of a hash of their texts.  ``doc_id`` must
+    be an integer, as the files hold it in 64 bits.
     """
+    if docs.schema["doc_id"].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise TypeError("doc_id must be an integer")
     folder = folder or new_path(docs.sparkSession, "shards")
     end = np.array([end_id], "<u4").tobytes()
     parts = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))

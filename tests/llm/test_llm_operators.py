@@ -91,6 +91,34 @@ def test_license_repeated_and_all_hits(make):
     assert got[1].license == "GPL-3.0" and got[1].start == 400 and got[1].n_hits == len(got[1].hits)
 
 
+def test_license_edges(spark, make):
+    t = licenses.TEMPLATES
+    long = "some words of a long text " * 40_000 + t["GPL-3.0"]
+    rows = [(1, t["MIT"]), (1, t["MIT"]), (1, None), (2, long), (3, f"{t['MIT']} {t['CC-BY-NC-4.0']} {t['MIT']}")]
+    docs = make(rows).withColumns({"license": F.lit("x"), "coverage": F.lit(9), "hits": F.lit("y")})
+    got = licenses.best_license(licenses.scan(docs)).collect()
+    assert sorted((r.doc_id, r.license or "", r.n_hits) for r in got)[:3] == [(1, "", 0), (1, "MIT", 1), (1, "MIT", 1)]
+    by = {r.doc_id: r for r in got}
+    assert by[2].license == "GPL-3.0" and by[2].start == 240_000
+    # Ties in coverage: the longer template, then the name, then the earlier place.
+    assert [(h.license, h.start) for h in by[3].hits] == [("CC-BY-NC-4.0", 5), ("MIT", 0), ("MIT", 10)]
+    assert licenses.scan(make([])).count() == 0
+    same = {"b": "one two three", "a": "one two three"}
+    assert [h.license for h in licenses.scan(make([(1, "one two three")]), same).first().hits] == ["a", "b"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.permutations(range(24)), st.integers(3, 12), st.sampled_from([0.5, 0.8, 1.0]))
+def test_license_coverage_by_brute_force(order, size, coverage):
+    # Of distinct words the alignment is a longest increasing subsequence: try every window.
+    template = [f"t{k}" for k in range(size)]
+    words = [f"t{k}" if k < size else f"f{k}" for k in order]
+    reach = 2 * size
+    best = max(_lis([int(w[1:]) for w in words[i : i + reach] if w[0] == "t"]) for i in range(len(words)))
+    hits = licenses.Scanner({"t": " ".join(template)}, coverage)(" ".join(words))
+    assert (hits[0][1] if hits else None) == (best / size if best >= coverage * size else None)
+
+
 def _lis(values):
     best = [1] * len(values)
     for k in range(len(values)):
@@ -118,6 +146,19 @@ def test_alignment_is_increasing(a, b):
 # --- BPE
 
 
+def test_bpe_digests(spark, make, library):
+    rows = [*enumerate(ODD), (None, "no id"), (4, "again"), (50, "long words and more " * 30_000)]
+    got = Counter(tuple(r) for r in bpe.encode_digests(make(rows), PATH).collect())
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    want = Counter()
+    for k, t in rows:
+        ids = _ids(library, t)
+        want[k, len(ids), sha(np.array(ids, "<u4").tobytes()), sha(library.decode(ids, skip_special_tokens=False).encode())] += 1
+    assert got == want
+    assert bpe.encode_digests(make([]), PATH).count() == 0
+    assert bpe.encode_digests(spark.createDataFrame([("a", "x")], "doc_id string, text string"), PATH).first().doc_id == "a"
+
+
 def test_bpe_as_the_library(make, library, spark, sf):
     texts = [r[0] for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(60).collect()] + ODD
     texts += ["".join(chr(c) for c in range(k, k + 97)) for k in range(1, 0x2000, 97)]
@@ -282,6 +323,9 @@ def test_quality_limits_false_rejection(spark, make):
     assert all(got[k].kept for k in range(950, 960))  # too few labels to reject anything
     assert got[990].base_failed and not got[990].kept and got[None].kept
     assert quality.judge(make([]), labels).count() == 0
+    odd = [(1, "word " * 300_000, "en"), (2, good[0][1], ""), (2, good[0][1], ""), (3, good[1][1], None)]
+    found = sorted((r.doc_id, r.n_words, r.kept) for r in quality.judge(make(odd), labels).collect())
+    assert found == [(1, 300_000, False), (2, 60, True), (2, 60, True), (3, 60, True)]
 
 
 # --- packing
@@ -327,6 +371,26 @@ def test_pack_documents(make, library):
     assert packing.pack(make([]), PATH).count() == 0
 
 
+def test_pack_under_every_capacity(make):
+    rng = random.Random(9)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.choice([0, 1, 3, 9, 20, 200])))) for k in range(150)] + [(k, "a b") for k in range(150, 200)]
+    for limits in ({"documents": 3}, {"attention": 1800}, {"documents": 4, "attention": 1500, "rule": "dot"}):
+        if "attention" in limits:
+            limits = {**limits, "capacity": 38}
+        out = packing.pack(make(rows), PATH, **{"capacity": 64, **limits}).collect()
+        bins = defaultdict(list)
+        for r in out:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for own in bins.values():
+            own.sort()
+            assert [o for o, _ in own] == [sum(x for _, x in own[:k]) for k in range(len(own))]
+            assert sum(x for _, x in own) <= limits.get("capacity", 64) and len(own) <= limits.get("documents", 64)
+            assert sum(x * x for _, x in own) <= limits.get("attention", 1 << 20)
+        assert any(len(own) == limits.get("documents") for own in bins.values()) or "documents" not in limits
+        pieces = [(r.doc_id, r.piece) for r in out]
+        assert len(pieces) == len(set(pieces)) and {k for k, _ in pieces} == {k for k, _ in rows}
+
+
 # --- token files
 
 
@@ -360,6 +424,10 @@ def test_token_files_round_trip(make, library):
         first = next(iter(reader.blocks()))
         assert reader.document(0)[1] == first[2][: first[1][1]].astype("<u4").tobytes()
     assert token_files.read_shards(token_files.write_shards(make([]), PATH, end_id=1)).count() == 0
+    again = token_files.read_shards(token_files.write_shards(make([(7, "a"), (7, "a"), (7, "b c")]), PATH, end_id=1)).collect()
+    assert [r.doc_id for r in again] == [7] * 3 and sorted(r.start for r in again)[0] == 0
+    with pytest.raises(TypeError):
+        token_files.write_shards(make([]).withColumn("doc_id", F.lit("x")), PATH, end_id=1)
 
 
 # --- language ID
@@ -383,6 +451,34 @@ def test_language_id_edges(make):
     assert langid.identify(make([])).count() == 0
 
 
+def test_language_counts_beside_exact_sets(spark, sf):
+    # The same n-grams counted in plain sets: the filters miss none, and take no more than their rate of others.
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("text IS NOT NULL AND lang IS NOT NULL").limit(150).collect()
+    sets = defaultdict(set)
+    for r in docs[:100]:
+        sets[r.lang] |= set(langid.ngrams(r.text).tolist())
+    model = langid.LanguageFilters.build({k: np.array(sorted(v), np.uint64) for k, v in sets.items()})
+    for r in docs:
+        found, total = model.counts(r.text)
+        held = langid.ngrams(r.text).tolist() if len(r.text) <= langid.PART else [h for at in range(0, len(r.text), langid.PART) for h in langid.ngrams(r.text[at : at + langid.PART]).tolist()]
+        assert total == len(held)
+        for bit, name in enumerate(model.languages):
+            exact = sum(h in sets[name] for h in held)
+            assert exact <= found[bit]
+    others = np.array(sorted({h for r in docs for h in langid.ngrams(r.text[: langid.PART]).tolist()}), np.uint64)
+    for bit, name in enumerate(model.languages):
+        new = others[~np.isin(others, np.array(sorted(sets[name]), np.uint64))]
+        hit = np.ones(len(new), np.uint64)
+        for k in range(langid.PROBES):
+            hit &= model.table[bit // 64][langid._cells(new, k, langid.CELLS)] >> np.uint64(bit % 64)
+        assert abs(hit.mean() - model.false[bit]) < 4 * (model.false[bit] / len(new)) ** 0.5 + 1e-4
+
+
+def test_language_ties_go_by_name(make):
+    rows = [(k, "same words here", "b") for k in (0, 1, 4, 5)] + [(k, "same words here", "a") for k in (6, 7, 8, 9)]
+    assert {r.lang_pred for r in langid.identify(make(rows)).collect()} == {"a"}
+
+
 def test_bit_sliced_filter_returns_all_languages():
     grams = {f"l{k:03d}": np.arange(k, k + 50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) for k in range(0, 700, 10)}
     f = langid.LanguageFilters.build(grams)
