@@ -59,7 +59,9 @@ def ngrams(text: str) -> np.ndarray:
 
 
 def _cells(h: np.ndarray, k: int, cells: int) -> np.ndarray:
-    x = (h + np.uint64(k * int(_ODD[3]) % 2**64)) * _ODD[1]
+    # A factor of its own for each probe, and a shift between: sums and shifts alone would give the same cell, moved.
+    x = h * _ODD[k % len(_ODD)] + np.uint64(k // len(_ODD))
+    x = (x ^ (x >> np.uint64(32))) * _ODD[(k + 1) % len(_ODD)]
     return (x >> np.uint64(64 - (cells.bit_length() - 1))).astype(np.int64)
 
 
