@@ -53,7 +53,7 @@ def scan_columns(lines: DataFrame, source: str = "Hebrew", target: str = "Englis
     """
     w = Window.partitionBy("path").orderBy("pos")
     cells = F.split("value", "\t")
-    names = F.transform(cells, F.trim)
+    names = F.transform(cells, lambda x: F.trim(x))
     starts = F.transform(names, lambda n: n.startswith(target))
     named = F.array_contains(names, source)
     header = named & F.array_contains(starts, True)
@@ -97,7 +97,7 @@ def test_blocks(lines: DataFrame) -> DataFrame:
     w = Window.partitionBy("path").orderBy("pos")
     value = F.col("value")
     starts = value.startswith("$") & F.coalesce(F.lead(value).over(w).startswith("TEST"), F.lit(False))
-    c = F.transform(F.split("value", "\t"), F.trim)
+    c = F.transform(F.split("value", "\t"), lambda x: F.trim(x))
     named = F.filter(F.slice(c, 2, F.greatest(F.size(c), F.lit(1))), lambda x: x != "")
     blocks = lines.select("path", "pos", "value", c.alias("c"), starts.alias("start")).withColumn("block", F.sum(F.col("start").cast("int")).over(w)).where("block > 0")
     inside = Window.partitionBy("path", "block").orderBy("pos")

@@ -66,3 +66,4 @@ from lectern.plans import catalog_rollups, catalog_texts  # noqa: E402,F401  the
 from lectern.plans import catalog_streams  # noqa: E402,F401
 from lectern.plans import catalog_verdicts  # noqa: E402,F401
 from lectern.plans import catalog_maps  # noqa: E402,F401
+from lectern.plans import catalog_editions, catalog_filesets, catalog_ids  # noqa: E402,F401

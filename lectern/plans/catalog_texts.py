@@ -142,10 +142,10 @@ def page_license(spark, sf_dir):
     return pages.select("page_id", rollups.page_license(F.col("html"), F.concat(F.lit("page "), F.col("page_id").cast("string"))).alias("l")).select("page_id", "l.*")
 
 
-@query("exact_pairs", "SELECT a.lang, a.doc_id AS a, b.doc_id AS b FROM documents a JOIN documents b ON a.lang = b.lang AND a.text = b.text AND a.doc_id < b.doc_id")
-def exact_pairs(spark, sf_dir):
-    """J3 with equality."""
-    return compare.equal_pairs(_docs(spark, sf_dir), ["lang"], "doc_id", "text")
+@query("exact_copies", "SELECT lang, a, doc_id AS b FROM (SELECT lang, doc_id, min(doc_id) OVER (PARTITION BY lang, text) AS a FROM documents WHERE text IS NOT NULL) WHERE doc_id <> a")
+def exact_copies(spark, sf_dir):
+    """J3 with equality: every copy with the least of its equals."""
+    return compare.copies(_docs(spark, sf_dir), ["lang"], "doc_id", "text")
 
 
 @query("identical_clusters", "SELECT doc_id, min(doc_id) OVER (PARTITION BY lang, text) AS cluster, count(*) OVER (PARTITION BY lang, text) AS n FROM documents")
@@ -154,31 +154,6 @@ def identical_clusters(spark, sf_dir):
     return compare.identical_clusters(_docs(spark, sf_dir), ["lang"], "doc_id", "text")
 
 
-@query("pair_scores")
-def pair_scores(spark, sf_dir):
-    """Scored pairs of probes within a group."""
-    return compare.pair_scores(compare.probes(_docs(spark, sf_dir)))
-
-
-@query("closest_partner")
-def closest_partner(spark, sf_dir):
-    """The best partner of an edition, with its tier."""
-    return compare.closest(compare.pair_scores(compare.probes(_docs(spark, sf_dir))))
-
-
-@query("near_clusters")
-def near_clusters(spark, sf_dir):
-    """G1 over scored pairs at or above 0.95."""
-    return compare.clusters(compare.pair_scores(compare.probes(_docs(spark, sf_dir))), 0.95)
-
-
-@query("diagnose_pairs")
-def diagnose_pairs(spark, sf_dir):
-    """Why the closest pairs below 1 differ."""
-    p = compare.probes(_docs(spark, sf_dir))
-    return compare.diagnose(compare.pair_scores(p), p)
-
-
 @query("written_tokens", f"WITH {LINES_SQL} SELECT doc_id, v, toks AS tokens, toks AS written FROM lines")
 def written_tokens(spark, sf_dir):
     """Tokens and written tokens by the general tokenizer; these texts have no marks."""

@@ -32,3 +32,28 @@ def write_split(df: DataFrame, path: str, iso: str, key: list[str]) -> None:
     """K2-K4: a file per language under ``first letter / language``."""
     out = documents_by(df, [iso], key).withColumn("iso0", F.substring(iso, 1, 1))
     out.write.mode("overwrite").partitionBy("iso0", iso).text(path)
+
+
+def meta_document(meta: dict[str, Column], books: Column, formats: Column) -> Column:
+    """K6: an edition's own fields, then its books and the formats that are published, as one JSON text."""
+    return F.to_json(F.struct(*[c.alias(k) for k, c in meta.items()], books.alias("books"), formats.alias("formats")))
+
+
+def placed(keys: DataFrame, languages: DataFrame, key: str = "key") -> DataFrame:
+    """K3: ``keys`` with the language that each edition's index key belongs to, null where no id space places it.
+
+    A key is ``source:id``; ``languages`` is (id, iso) with ids as editions are published: ``h:`` and
+    ``e:`` for two sources, the collections' ids beginning with their language.
+    """
+    source, ident = F.split(F.col(key), ":", 2)[0], F.split(F.col(key), ":", 2)[1]
+    letter = F.when(source == "helloao", "h:").when(source == "ebible", "e:").otherwise("?")
+    named = keys.withColumn("__id", F.concat(letter, ident))
+    found = named.join(languages.select(F.col("id").alias("__id"), F.col("iso").alias("__iso")), "__id", "left").drop("__id")
+    return found.withColumn("iso", F.when(source == "pkf", F.split(ident, "_")[0]).otherwise(F.col("__iso"))).drop("__iso")
+
+
+def verified(published: DataFrame, local: DataFrame, path: str = "path", digest: str = "sha256") -> DataFrame:
+    """(path, state) of every local file: same, differs or missing where it is published."""
+    p = published.select(path, F.col(digest).alias("__published"))
+    state = F.when(F.col("__published").isNull(), "missing").when(F.col("__published") == F.col(digest), "same").otherwise("differs")
+    return local.join(p, path, "left").select(path, state.alias("state"))
