@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.operators import refs
-from lectern.operators.graphs import components
+from lectern.operators.graphs import components, cut
 
 _REF = r"^(\S+) (\d+):(\w+)$"
 
@@ -36,13 +36,18 @@ def verse_of(ref: Column) -> Column:
 def expand_tradition(ref: Column, books: list[str]) -> Column:
     """P25: ``Gen.1:2-3a`` or ``Psa.3:Title`` as an array of references; null where it does not parse or the book is unknown."""
     p = r"^([0-9A-Za-z]+)\.(\d+):(?:(\d+)(?:-(\d+))?([a-z])?|(Title))$"
-    at = lambda k: F.regexp_extract(F.trim(ref), p, k)
-    book = F.upper(at(1))
-    low = F.nullif(at(3), F.lit("")).cast("int")
-    high = F.coalesce(F.nullif(at(4), F.lit("")).cast("int"), low)
-    head = F.concat(book, F.lit(" "), at(2), F.lit(":"))
-    verses = F.when(low > high, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(low, F.greatest(low, high)), lambda v: F.concat(head, v.cast("string"), at(5))))
-    return F.when(F.trim(ref).rlike(p) & book.isin(books), F.when(at(6) != "", F.array(F.concat(head, F.lit("title")))).otherwise(verses))
+    ref = F.trim(ref)
+    parsed = F.when(ref.rlike(p), F.split(F.regexp_replace(ref, p, "$1\t$2\t$3\t$4\t$5\t$6"), "\t", -1))
+
+    def verses(x: Column) -> Column:
+        book, low = F.upper(x[0]), F.nullif(x[2], F.lit("")).cast("int")
+        high = F.coalesce(F.nullif(x[3], F.lit("")).cast("int"), low)
+        head = F.concat(book, F.lit(" "), x[1], F.lit(":"))
+        each = F.when(low > high, F.array().cast("array<string>")).otherwise(F.transform(F.sequence(low, F.greatest(low, high)), lambda v: F.concat(head, v.cast("string"), x[4])))
+        return F.when(x.isNotNull() & book.isin(books), F.when(x[5] != "", F.array(F.concat(head, F.lit("title")))).otherwise(each))
+
+    # Through an array of one, so that a reference is parsed once and not for every part of it.
+    return F.get(F.transform(F.array(parsed), verses), F.lit(0))
 
 
 def scan_columns(lines: DataFrame, source: str = "Hebrew", target: str = "English KJV") -> DataFrame:
@@ -249,7 +254,7 @@ def compose(x_links: DataFrame, o_links: DataFrame, x_shape: DataFrame, o_shape:
     """
     tag = lambda side, c: F.concat(F.lit(f"{side}|"), F.col(c))
     edges = x_links.select(tag("x", "v").alias("a"), tag("e", "e").alias("b")).union(o_links.select(tag("o", "v"), tag("e", "e")))
-    group = components(edges)
+    group = cut(components(edges))
     lasts = {"x": x_shape, "o": o_shape}
 
     def side(links: DataFrame, name: str) -> DataFrame:
@@ -271,7 +276,7 @@ def compose(x_links: DataFrame, o_links: DataFrame, x_shape: DataFrame, o_shape:
         s = rows.groupBy("component").agg(F.count("*").alias("n"), F.bool_and("steps").alias("steps"), F.min("like").alias("a"), F.max("like").alias("z"), *ends)
         return s.select("component", *[F.col(c).alias(f"{name}_{c}") for c in s.columns if c != "component"])
 
-    xs, os_ = side(x_links, "x"), side(o_links, "o")
+    xs, os_ = cut(side(x_links, "x")), cut(side(o_links, "o"))  # read several times below
     groups = summary(xs, "x").join(summary(os_, "o"), "component", "left")
     alike = F.least("x_a", "o_a") == F.greatest("x_z", "o_z")
     kind = (
