@@ -204,3 +204,9 @@ def diagnose(own: DataFrame, near: DataFrame, by: list[str]) -> DataFrame:
         return pd.Series([category(u, v, s) for u, v, s in zip(xs, ys, ss, strict=True)])
 
     return both.select(*by, "a", "b", "score", label("x", "y", "score").alias("category"))
+
+
+def largest_hunks(a: str, b: str, n: int = 3, width: int = 40) -> list[tuple[str, str, str]]:
+    """The hunks with the longest sides, the first on ties, cut for display: a report's feature."""
+    found = sorted(text.hunks(a, b), key=lambda h: -max(len(h[1]), len(h[2])))
+    return [(kind, x[:width], y[:width]) for kind, x, y in found[:n]]

@@ -194,3 +194,27 @@ def preferred_first(ids: Column, preferred: Column) -> Column:
 def outdated(rows: DataFrame, done: DataFrame, keys: list[str], version: int) -> DataFrame:
     """I4: rows without a result of the present input version."""
     return rows.join(done.where(F.col("input_version") == version).select(*keys).distinct(), keys, "left_anti")
+
+
+def last_verse(numbers: Column, counted: Column) -> Column:
+    """A chapter's last verse: the greatest number in it, else the number of verses that its metadata tell."""
+    return F.coalesce(F.array_max(numbers), counted)
+
+
+def to_recheck(results: DataFrame) -> DataFrame:
+    """(iso, file) of comparisons below 1 that name the file they read; a null score was not compared and is none."""
+    return results.where((F.col("score") < 1) & (F.coalesce("file", F.lit("")) != "")).select("iso", "file")
+
+
+def staged(books: DataFrame, chapters: DataFrame) -> DataFrame:
+    """K7: (source, target) of files to publish: books (edition, book, with_chapters) and chapters (edition, book, chapter).
+
+    A book is staged beside its chapters; where chapters should be there and are not, it is left out.
+    """
+    name = F.concat(F.col("edition"), F.lit("/"), F.col("book"))
+    have = chapters.select("edition", "book").distinct().withColumn("__have", F.lit(True))
+    kept = books.join(have, ["edition", "book"], "left").where("NOT with_chapters OR __have")
+    whole = kept.select(F.concat(name, F.lit(".json")).alias("source"), F.concat(name, F.lit(".usj.json")).alias("target"))
+    own = chapters.join(kept.where("with_chapters").select("edition", "book"), ["edition", "book"])
+    at = F.concat(name, F.lit("/"), F.col("chapter").cast("string"))
+    return whole.union(own.select(F.concat(at, F.lit(".json")), F.concat(at, F.lit(".sofria.json"))))

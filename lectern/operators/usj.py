@@ -211,3 +211,32 @@ def usj_col(source: Column | str, usx: bool = False) -> Column:
         return pd.DataFrame([one(x) for x in s], columns=["usj", "error"])
 
     return run(source)
+
+
+#: Paragraphs of a book's head and headings that the rough text leaves out, and those that may have a level.
+ROUGH_OUT, ROUGH_LEVELS = frozenset("h ide rem r mr".split()), frozenset("toc mt s ms".split())
+
+
+def rough_text(usfm: str | None) -> str:
+    """A book's text for counting letters: without notes, attributes, titles and headings; white space is as it comes."""
+
+    def told(node) -> list[str]:
+        if isinstance(node, str):
+            return [node]
+        marker = node.get("marker", "")
+        headed = marker in ROUGH_OUT or marker.rstrip("0123456789") in ROUGH_LEVELS
+        if node["type"] in ("note", "book") or (node["type"] == "para" and headed):
+            return []
+        return [x for child in node.get("content", ()) for x in told(child)] + [" "]
+
+    return "".join(told(usfm_to_usj(usfm)))
+
+
+def rough_text_col(source: Column | str) -> Column:
+    """X14 as a column."""
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(rough_text, na_action=None)
+
+    return run(source)

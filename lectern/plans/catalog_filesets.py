@@ -272,3 +272,38 @@ def _through_usj(spark, sf_dir, verse, book, usx):
     turns = table(spark, sf_dir, "conversations").where("text IS NOT NULL")
     books = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", verse.alias("t")))).alias("vs")).select("conv_id", usj.usj_col(book, usx).alias("u"))
     return verses.verse_table(books.select("conv_id", "u.usj"), ["conv_id"], "usj", "usj").select("conv_id", "chapter", "verse", "text")
+
+
+@query("rough_letters", "SELECT conv_id, turn, CAST(length(regexp_replace(text, '[^\\p{L}]', '', 'g')) AS INTEGER) AS letters FROM conversations WHERE text IS NOT NULL")
+def rough_letters(spark, sf_dir):
+    """Letters of a book's rough text."""
+    raw = F.concat(F.lit("\\id GEN x\n\\h Title\n\\toc1 Long\n\\mt1 Main\n\\c 1\n\\s1 Head\n\\p\n\\v 1 \\w "), F.regexp_replace(F.regexp_replace("text", r"\\", "/"), r"\|", "/"), F.lit('|lemma="x"\\w*\\f + \\ft note\\f*\n\\ms2 More\n\\b'))
+    rows = table(spark, sf_dir, "conversations").where("text IS NOT NULL").select("conv_id", "turn", usj.rough_text_col(raw).alias("t"))
+    return rows.select("conv_id", "turn", F.length(F.regexp_replace("t", r"[^\p{L}]", "")).alias("letters"))
+
+
+@query("last_verse", """SELECT l_orderkey AS id, CAST(coalesce(max(CASE WHEN l_orderkey % 5 > 0 THEN l_linenumber + CAST(l_quantity AS INTEGER) % 3 END), CASE WHEN l_orderkey % 2 = 0 THEN count(*) END, -1) AS BIGINT) AS last FROM lineitem GROUP BY l_orderkey""")
+def last_verse(spark, sf_dir):
+    """The last verse of a chapter by its numbers, else as it is told."""
+    k = F.col("l_orderkey")
+    numbers = F.collect_list(F.when(k % 5 > 0, F.col("l_linenumber") + F.col("l_quantity").cast("int") % 3).cast("bigint"))
+    c = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(numbers.alias("numbers"), F.count("*").alias("n"))
+    return c.select(k.alias("id"), F.coalesce(filesets.last_verse(F.col("numbers"), F.when(k % 2 == 0, F.col("n"))), F.lit(-1).cast("bigint")).alias("last"))
+
+
+@query("to_recheck", "SELECT p_partkey || '' AS iso, p_name AS file FROM part WHERE p_size % 4 <> 0 AND p_size < 40 AND p_size % 3 <> 1")
+def to_recheck(spark, sf_dir):
+    """Comparisons that are done again by words."""
+    s = F.col("p_size")
+    rows = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("iso"), F.when(s % 4 != 0, s / 40).alias("score"), F.when(s % 3 != 1, F.col("p_name")).alias("file"))
+    return filesets.to_recheck(rows)
+
+
+@query("staged_files", """WITH b AS (SELECT o_orderkey AS e, o_orderkey % 3 <> 0 AS w FROM orders), c AS (SELECT l_orderkey AS e, l_linenumber AS n FROM lineitem WHERE l_linenumber > 4 GROUP BY ALL),
+k AS (SELECT e, w FROM b WHERE NOT w OR e IN (SELECT e FROM c))
+SELECT e || '/GEN.json' AS source, e || '/GEN.usj.json' AS target FROM k UNION ALL SELECT e || '/GEN/' || n || '.json', e || '/GEN/' || n || '.sofria.json' FROM c JOIN k USING (e) WHERE w""")
+def staged_files(spark, sf_dir):
+    """K7: files under their published names."""
+    books = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("edition"), F.lit("GEN").alias("book"), (F.col("o_orderkey") % 3 != 0).alias("with_chapters"))
+    chapters = table(spark, sf_dir, "lineitem").where("l_linenumber > 4").select(F.col("l_orderkey").cast("string").alias("edition"), F.lit("GEN").alias("book"), F.col("l_linenumber").alias("chapter")).distinct()
+    return filesets.staged(books, chapters)

@@ -100,6 +100,11 @@ def test_usfm_to_usj():
     assert usj.usfm_to_usj(None)["content"] == [] and usj.usfm_to_usj("plain \\w* text")["content"][0]["content"] == ["plain ", " text"]
 
 
+def test_largest_hunks():
+    assert compare.largest_hunks("axbyyycd", "abczzzzzd", n=2) == [("insert", "", "zzzzz"), ("delete", "yyy", "")]
+    assert compare.largest_hunks("a", "a") == []
+
+
 def test_usx_to_usj():
     source = '<usx version="3.0"><book code="GEN" style="id">A</book>\n<chapter number="1" style="c" sid="GEN 1"/>\n<para style="p">\n<verse number="1" style="v" sid="x"/>In <char style="w" lemma="a">the</char> day | one<note style="f" caller="+"><char style="ft">n</char></note>\n<verse eid="x"/></para><chapter eid="GEN 1"/></usx>'
     tree = usj.usx_to_usj(source)
