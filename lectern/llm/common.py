@@ -71,6 +71,17 @@ def filesystem(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pyarrow.fs.LocalFileSystem(), uri)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``df`` has, for columns that are added on the way."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def join_spread(rows: DataFrame, small: DataFrame, on: list[str], total: int, spread: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined with ``small``, which has one row for each key and, as ``n``, the number of its rows among ``rows``.
 
@@ -80,12 +91,12 @@ def join_spread(rows: DataFrame, small: DataFrame, on: list[str], total: int, sp
     """
     part = F.sequence(F.lit(0).cast("bigint"), F.lit(SPREAD - 1).cast("bigint"))
     cutoff = total * HOT
-    hot = F.broadcast(small.where(F.col("n") > cutoff).select(*[F.col(c).alias(f"__hot_{c}") for c in on]))
-    is_hot = F.col(f"__hot_{on[0]}").isNotNull()
-    dealt = rows.join(hot, [F.col(c) == F.col(f"__hot_{c}") for c in on], "left")
-    dealt = dealt.withColumn("__salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SPREAD))).otherwise(0)).drop(*[f"__hot_{c}" for c in on])
-    copies = small.withColumn("__salt", F.explode(F.when(F.col("n") > cutoff, part).otherwise(F.array(F.lit(0).cast("bigint"))))).drop("n")
-    return dealt.join(copies, [*on, "__salt"], how).drop("__salt")
+    salt, *keys = free_names(rows, "__salt", *[f"__hot_{c}" for c in on])
+    hot = F.broadcast(small.where(F.col("n") > cutoff).select(*[F.col(c).alias(k) for c, k in zip(on, keys, strict=True)]))
+    dealt = rows.join(hot, [F.col(c) == F.col(k) for c, k in zip(on, keys, strict=True)], "left")
+    dealt = dealt.withColumn(salt, F.when(F.col(keys[0]).isNotNull(), F.pmod(F.xxhash64(*spread), F.lit(SPREAD))).otherwise(0)).drop(*keys)
+    copies = small.withColumn(salt, F.explode(F.when(F.col("n") > cutoff, part).otherwise(F.array(F.lit(0).cast("bigint"))))).drop("n")
+    return dealt.join(copies, [*on, salt], how).drop(salt)
 
 
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:

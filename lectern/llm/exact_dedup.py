@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, filesystem, in_arrow, join_spread, new_path, written
+from lectern.llm.common import discard, filesystem, free_names, in_arrow, join_spread, new_path, written
 
 #: Characters that are deleted before texts are compared: space and tab to carriage return.
 BLANK = " \t\n\x0b\x0c\r"
@@ -248,21 +248,21 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     and length stand for one another; one of them stays.
     """
     _checked(docs)
+    sha, number, chosen = free_names(docs, "__sha", "__row", "__best")
     rows = written(digest_rows(docs), "digests")
     total = rows.count()
-    copies = tree_merge(rows).select(F.col("sha").alias("__sha"), F.struct("best.*").alias("__best"), "n")
+    copies = tree_merge(rows).select(F.col("sha").alias(sha), F.struct("best.*").alias(chosen), "n")
 
     def is_best(chars):
-        return F.col("doc_id").eqNullSafe(F.col("__best.doc_id")) & (chars == -F.col("__best.minus_chars"))
+        return F.col("doc_id").eqNullSafe(F.col(f"{chosen}.doc_id")) & (chars == -F.col(f"{chosen}.minus_chars"))
 
-    again = join_spread(rows.withColumnRenamed("sha", "__sha"), copies, ["__sha"], total, ["row"]).where(is_best(F.col("chars"))).groupBy("__sha").count().where("count > 1")
+    again = join_spread(rows.withColumnRenamed("sha", sha), copies, [sha], total, ["row"]).where(is_best(F.col("chars"))).groupBy(sha).count().where("count > 1")
     twice = not again.isEmpty()
     discard(rows)
-    # What spreads the rows of a hot text: they are found by their own number, the text being the same.
-    joined = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256)).withColumn("__row", F.monotonically_increasing_id())
-    joined = join_spread(joined, copies, ["__sha"], total, ["__row"], "left")
+    joined = docs.withColumn(sha, F.sha2(normalised(F.col("text")), 256)).withColumn(number, F.monotonically_increasing_id())
+    joined = join_spread(joined, copies, [sha], total, [number], "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
     best = is_best(F.length(F.coalesce("text", F.lit(""))))
     if not twice:
-        return joined.where(F.col("__best").isNull() | best).select(*own)
-    return joined.where("__best IS NULL").select(*own).unionByName(joined.where(best).dropDuplicates(["__sha"]).select(*own))
+        return joined.where(F.col(chosen).isNull() | best).select(*own)
+    return joined.where(F.col(chosen).isNull()).select(*own).unionByName(joined.where(best).dropDuplicates([sha]).select(*own))

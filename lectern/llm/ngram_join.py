@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.common import components, discard, in_arrow, join_spread, slices, written
+from lectern.llm.common import components, discard, free_names, in_arrow, join_spread, slices, written
 
 #: A shingle counts as common when it makes up more than this share of all shingles; so there are at most 1 / COMMON of them.
 COMMON = 2.0**-18
@@ -511,7 +511,8 @@ def keep_one(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     go whose own text is near another's.
     """
     classes = _classes(docs, n, percent)
-    gone = written(classes.where("doc_id != component_id").select("doc_id", F.col("text_hash").alias("__hash")).distinct(), "gone")
+    own = free_names(docs, "__hash")[0]
+    gone = written(classes.where("doc_id != component_id").select("doc_id", F.col("text_hash").alias(own)).distinct(), "gone")
     discard(*classes.read_from)
-    named = docs.withColumn("__hash", F.xxhash64("text"))
-    return named.join(gone, ["doc_id", "__hash"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    named = docs.withColumn(own, F.xxhash64("text"))
+    return named.join(gone, ["doc_id", own], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

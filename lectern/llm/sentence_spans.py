@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import discard, in_arrow, join_spread, slices, written
+from lectern.llm.common import discard, free_names, in_arrow, join_spread, slices, written
 
 #: What ends a sentence, beside the line end: ASCII, full-width, Arabic and Indic signs.
 STOPS = ".!?,;:。！？，；：、؟،؛।"
@@ -171,12 +171,13 @@ def cut_repeats(docs: DataFrame, least: int = SENTENCES, words: int = WORDS) ->
     are.  Rows with a null doc_id come after all others.  Rows that repeat doc_id and text are one
     document and get the same result.  An empty table gives no rows.
     """
-    starts = repeated_spans(docs, least, words).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("starts").alias("__starts"))
-    named = docs.withColumn("__own", F.xxhash64("text"))
-    joined = named.join(starts, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__hash")), "left").drop("__id", "__hash", "__own")
+    key, hashed, begun_at, of_text = free_names(docs, "__id", "__hash", "__starts", "__own")
+    starts = repeated_spans(docs, least, words).select(F.col("doc_id").alias(key), F.col("text_hash").alias(hashed), F.col("starts").alias(begun_at))
+    named = docs.withColumn(of_text, F.xxhash64("text"))
+    joined = named.join(starts, F.col("doc_id").eqNullSafe(F.col(key)) & (F.col(of_text) == F.col(hashed)), "left").drop(key, hashed, of_text)
     extra = "n_sentences bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>"
     keep = [c for c in docs.columns if c not in ("n_sentences", "n_removed", "removed")]
-    joined = joined.select(*[F.col(f"`{c}`") for c in keep], "__starts")
+    joined = joined.select(*[F.col(f"`{c}`") for c in keep], begun_at)
     at = keep.index("text")
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 

@@ -1,7 +1,8 @@
-"""The pipeline against its stages' brute-force results, and queries against SQL on the small tables."""
+"""The pipeline's stages on plain cases, and queries against SQL on the small tables."""
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lectern.llm import queries
@@ -44,5 +45,40 @@ def test_pipeline_stages(spark, make):
     assert {r.doc_id for r in last} == set(kept[3])
 
 
+def _through(spark, docs):
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        columns = docs.columns
+        docs = stage(spark, docs, "")
+        assert docs.columns == columns
+    return docs, corpus_pipeline.STAGES[-1][1](spark, docs, "")
+
+
+def test_pipeline_of_an_empty_table(spark, make):
+    kept, packed = _through(spark, make([]))
+    assert kept.count() == packed.count() == 0
+
+
+def test_pipeline_of_odd_rows(spark, make):
+    # Repeated and null ids, nulls in every column, columns whose names the operators use themselves.
+    say = lambda a, n=30: " ".join(f"{a}word{k}x" for k in range(n))
+    rows = [(1, say("a")), (1, say("a")), (1, say("b")), (2, say("b") + " more"), (None, say("c")), (None, None), (None, say("a")), (3, ""), (4, "  \n"), (5, "???"), (6, say("d", 40_000))]
+    docs = make(rows)
+    clash = {c: F.lit(c) for c in ("n", "count", "run", "row", "sha", "best", "spans", "starts", "text_hash", "__sha", "salt", "removed_by", "sid", "component", "places", "__row", "__best", "__salt", "__hot___sha", "__hash", "__own", "__id", "__starts", "__n")}
+    kept, packed = _through(spark, docs.withColumns(clash))
+    found = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert [(k, t[:6]) for k, t in found] == [(0, "cword0"), (1, "aword0"), (1, "bword0"), (6, "dword0")]
+    assert all(r[c] == c for r in kept.collect() for c in clash)
+    by = {}
+    for r in packed.collect():
+        by.setdefault((r.doc_id, r.piece), []).append(r.length)
+    assert max(k for d, k in by if d == 6) > 10 and all(0 < x <= 2048 for own in by.values() for x in own)
+
+
+def test_pipeline_is_reproducible(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    one, two = (sorted((r.doc_id, r.text) for r in _through(spark, d)[0].collect()) for d in (docs, docs.orderBy("source", "doc_id").repartition(7)))
+    assert one == two
+
+
 def test_pipeline_runs(spark, sf):
     assert corpus_pipeline.run(spark, sf).count() > 100
