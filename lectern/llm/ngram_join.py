@@ -15,7 +15,8 @@ are known to be linked with the query already.
 
 Blocks of more than BLOCK sets, or BLOCK_ELEMENTS elements, are reduced first: every set is compared with one leading set of its
 block, by a join, and only those not linked with it are compared, in square cells of bounded size,
-with all others.  Sets that are identical are one set throughout; the copies are rows of the
+with all others.  A set goes to as many cells as its block has parts; the cells are dealt to rounds, so
+that no more elements are on disk for them at once than all sets have.  Sets that are identical are one set throughout; the copies are rows of the
 membership alone.  Linked sets become classes by distributed connected components.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain
 
 import numpy as np
@@ -42,7 +44,7 @@ SAMPLE = 4 / 3
 #: Shingles whose common ones are counted together in a task.
 COUNTED = 1 << 22
 #: Sets of a block, and of one side of a cell; elements of these, over all their sets.
-BLOCK, CELL = 2000, 500
+BLOCK, CELL = 2000, 1000
 BLOCK_ELEMENTS, CELL_ELEMENTS = 1 << 22, 1 << 21
 #: Distinct words whose hashes a worker keeps.
 WORDS = 400_000
@@ -406,27 +408,34 @@ def _cells(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(sets: DataFrame, percent: int) -> DataFrame:
-    """Links (u, v) among ``sets`` (sid, block, elements, members, lead): block by block."""
+    """Links (u, v) among ``sets`` (sid, block, elements, members, lead): block by block; ``read_from`` names the tables they stand in."""
     none = F.lit(0)
     held = sets.groupBy("block").agg(F.sum(F.size("elements")).alias("held"), F.count("*").alias("n"))
     big = written(held.where((F.col("held") > BLOCK_ELEMENTS) | (F.col("n") > BLOCK)).select("block", "n"), "big")
-    total = sets.count()
+    total, volume = sets.agg(F.count("*"), F.sum(F.size("elements"))).first()
     if big.isEmpty():
-        return _cells(sets.select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements"), percent)
+        links = _cells(sets.select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements"), percent)
+        links.read_from = [big]
+        return links
     small = sets.join(big, "block", "left_anti").select("block", none.alias("ci"), none.alias("cj"), "sid", F.lit(False).alias("linked"), "elements")
-    links = _cells(small, percent)
+    tables = [written(_cells(small, percent), "links")]
     leads = written(sets.where("sid = lead").select("block", F.col("elements").alias("lead_elements")).join(big, "block"), "leads")
     both = F.size(F.array_intersect("elements", "lead_elements"))
     near = 100 * both >= percent * (F.size("elements") + F.size("lead_elements") - both)
     large = join_spread(sets.drop("members"), leads, ["block"], total, ["sid"])
     marked = written(large.select("block", "sid", "lead", "elements", near.alias("linked")), "led")
-    links = links.union(marked.where("linked AND sid != lead").select("sid", "lead"))
+    tables.append(written(marked.where("linked AND sid != lead").select(F.col("sid").alias("u"), F.col("lead").alias("v")), "links"))
     # How many parts each kind is dealt to: by its sets and by their elements.
-    parts = lambda own: F.ceil(F.greatest(F.count_if(own) / CELL, F.sum(F.when(own, F.size("elements")).otherwise(0)) / CELL_ELEMENTS)).cast("int")
+    own_elements = lambda own: F.sum(F.when(own, F.size("elements")).otherwise(0))
+    parts = lambda own: F.ceil(F.greatest(F.count_if(own) / CELL, own_elements(own) / CELL_ELEMENTS)).cast("int")
     linked = F.col("linked")
-    rest = written(marked.groupBy("block").agg(parts(~linked).alias("gr"), parts(linked).alias("gk"), F.count("*").alias("n")).where("gr > 0"), "rest")
+    facts = marked.groupBy("block").agg(parts(~linked).alias("gr"), parts(linked).alias("gk"), own_elements(~linked).alias("er"), own_elements(linked).alias("ek"), F.count("*").alias("n")).where("gr > 0")
+    rest = written(facts, "rest")
+    rounds = -(-(rest.agg(F.sum(F.expr("er * (gr + gk) + ek * gr"))).first()[0] or 0) // max(volume, 1))
     gr, gk = F.col("gr"), F.col("gk")
-    dealt = join_spread(marked, rest, ["block"], total, ["sid"]).withColumn("sub", F.pmod(F.xxhash64("sid"), F.when(linked, gk).otherwise(gr)).cast("int"))
+    dealt = join_spread(marked, rest.drop("er", "ek"), ["block"], total, ["sid"]).withColumn("sub", F.pmod(F.xxhash64("sid"), F.when(linked, gk).otherwise(gr)).cast("int"))
+    dealt = written(dealt, "dealt")
+    discard(big, leads, marked, rest)
     others = F.sequence(F.lit(0), gr - 1)
     # A row that is not linked meets all others of its kind and all linked ones; cells (i, j) with j from gr on hold the latter.
     own = F.concat(
@@ -434,8 +443,14 @@ def _block_links(sets: DataFrame, percent: int) -> DataFrame:
         F.transform(F.when(gk > 0, F.sequence(gr, gr + gk - 1)).otherwise(F.array().cast("array<int>")), lambda j: F.struct(F.col("sub").alias("ci"), j.alias("cj"))),
     )
     of_linked = F.transform(others, lambda i: F.struct(i.alias("ci"), (F.col("sub") + gr).cast("int").alias("cj")))
-    cells = dealt.select("block", "sid", "linked", "elements", F.explode(F.when(linked, of_linked).otherwise(own)).alias("c"))
-    return links.union(_cells(cells.select("block", "c.ci", "c.cj", "sid", "linked", "elements"), percent))
+    for k in range(rounds):
+        now = F.filter(F.when(linked, of_linked).otherwise(own), lambda c: F.pmod(F.xxhash64("block", c["ci"], c["cj"]), F.lit(rounds)) == k)  # noqa: B023
+        cells = dealt.select("block", "sid", "linked", "elements", F.explode(now).alias("c"))
+        tables.append(written(_cells(cells.select("block", "c.ci", "c.cj", "sid", "linked", "elements"), percent), "links"))
+    discard(dealt)
+    links = reduce(DataFrame.union, tables)
+    links.read_from = tables
+    return links
 
 
 def near_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -488,8 +503,9 @@ def _classes(docs: DataFrame, n: int, percent: int) -> DataFrame:
     elements = written(_sets(docs.select("doc_id", "text").join(wanted, "doc_id"), shingler), "elements")
     discard(stars, members, counts)
     found = elements.select("sid", F.explode("blocks").alias("b"), "elements").select("sid", "b.*", "elements")
-    links = written(_block_links(found, percent), "links")
-    discard(elements)
+    each = _block_links(found, percent)
+    links = written(each, "links")
+    discard(elements, *each.read_from)
 
     labels = components(links)
     class_of = labels.join(sets, F.col("node") == F.col("sid")).select("sid", "label", "least")

@@ -242,6 +242,30 @@ def test_ngram_join_of_very_long_texts(make, monkeypatch):
     assert got == _brute(rows, 4, 85)
 
 
+def test_ngram_join_deals_cells_to_rounds(make, monkeypatch):
+    """Sets of a large block that are not linked with its lead are never all copied to their cells at once."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    monkeypatch.setattr(ngram_join, "CELL", 2)
+    copied, cells = [], ngram_join._cells
+
+    def counted(rows, percent):
+        copied.append(rows.agg(F.sum(F.size("elements"))).first()[0] or 0)
+        return cells(rows, percent)
+
+    monkeypatch.setattr(ngram_join, "_cells", counted)
+    rnd = random.Random(5)
+    base = [f"w{k}" for k in range(120)]
+    texts = []
+    for k in range(40):  # near copies; of each, one that is nearer
+        words = [f"x{k}-{i}" if rnd.random() < 0.03 else w for i, w in enumerate(base)]
+        texts += [" ".join(words), " ".join([*words, "end"])]
+    rows = list(enumerate(texts))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(make(rows), 4, 85).collect()}
+    assert got == _brute(rows, 4, 85)
+    volume = sum(n for n, _ in got.values())
+    assert len(copied) > 4 and max(copied) <= 4 * volume < sum(copied)
+
+
 def test_ngram_join_edges(make):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(5, text), (5, text), (None, text), (7, text + " more"), (None, "alone here now and then")]
