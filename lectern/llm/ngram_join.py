@@ -118,6 +118,14 @@ def _identity(x: np.ndarray) -> tuple[int, int]:
     return xxhash.xxh3_64_intdigest(raw, 1) - (1 << 63), xxhash.xxh64_intdigest(raw, 2) - (1 << 63)
 
 
+def _often(x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """The values that ``x`` holds more than ``least`` times, and how often; ``x`` is sorted in place, nothing of its size copied."""
+    x.sort()
+    k = int(least)
+    values = np.unique(x[k:][x[k:] == x[: len(x) - k]])
+    return values, np.searchsorted(x, values, "right") - np.searchsorted(x, values, "left")
+
+
 def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, DataFrame, np.ndarray]:
     """The table written, every row's set by name, and the common shingles.
 
@@ -129,12 +137,10 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, DataFram
     arrow = pa.schema([("doc_id", pa.string() if kind == "string" else pa.int64()), ("sid", pa.int64()), ("chk", pa.int64()), ("size", pa.int64()), ("shingle", pa.int64()), ("text_hash", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, count = Shingler(n, seed), [], 0
+        shingler, held, count = Shingler(n, seed), np.empty(COUNTED, np.int64), 0
 
-        def common() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times > max(1.0, COMMON * count / 2)
-            values, times = values[often], times[often]
+        def common(shingles: np.ndarray) -> pa.RecordBatch:
+            values, times = _often(shingles, max(1.0, COMMON * len(shingles) / 2))
             none = pa.nulls(len(values), pa.int64())
             return pa.RecordBatch.from_arrays([pa.nulls(len(values), arrow.field(0).type), none, none, pa.array(times, pa.int64()), pa.array(values, pa.int64()), none], schema=arrow)
 
@@ -143,13 +149,15 @@ def _signatures(docs: DataFrame, n: int, seed: int) -> tuple[DataFrame, DataFram
             names = [_identity(x) for x in sets]
             sizes = [len(x) for x in sets]
             yield pa.RecordBatch.from_arrays([part.column(0).cast(arrow.field(0).type), pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array(sizes, pa.int64()), pa.nulls(len(sets), pa.int64()), part.column(2)], schema=arrow)
-            held += sets
-            count += sum(sizes)
-            if count > COUNTED:
-                yield common()
-                held, count = [], 0
+            for x in sets:
+                if count + len(x) > COUNTED:
+                    yield common(held[:count])
+                    count = 0
+                if len(x) <= COUNTED:  # a set by itself has no shingle twice
+                    held[count : count + len(x)] = x
+                    count += len(x)
         if count:
-            yield common()
+            yield common(held[:count])
 
     table = written(docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).transform(in_arrow, run, schema), "signatures")
     rows = table.where("sid IS NOT NULL").select("doc_id", "sid", "chk", "size", "text_hash")

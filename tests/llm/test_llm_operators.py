@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -266,6 +267,22 @@ def test_ngram_join_deals_cells_to_rounds(make, monkeypatch):
     assert len(copied) > 4 and max(copied) <= 4 * volume < sum(copied)
 
 
+def test_common_shingles_are_counted_in_place():
+    x = np.random.default_rng(1).integers(0, 1 << 18, 1 << 20)
+    for least in (1.0, 4.5, 8.0):
+        values, times = np.unique(x, return_counts=True)
+        own = x.copy()
+        tracemalloc.start()
+        got = ngram_join._often(own, least)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert got[0].tolist() == values[times > least].tolist() and got[1].tolist() == times[times > least].tolist()
+        if least == 8.0:  # few are common
+            assert peak < x.nbytes / 2
+    empty = ngram_join._often(x[:1].copy(), 4.0)
+    assert len(empty[0]) == len(empty[1]) == 0
+
+
 def test_ngram_join_edges(make):
     text = " ".join(f"w{k}" for k in range(40))
     rows = [(5, text), (5, text), (None, text), (7, text + " more"), (None, "alone here now and then")]
