@@ -16,7 +16,7 @@ are known to be linked with the query already.
 Blocks of more than BLOCK sets, or BLOCK_ELEMENTS elements, are reduced first: every set is compared with one leading set of its
 block, by a join, and only those not linked with it are compared, in square cells of bounded size,
 with all others.  A set goes to as many cells as its block has parts; the cells are dealt to rounds, so
-that no more elements are on disk for them at once than all sets have.  Sets that are identical are one set throughout; the copies are rows of the
+that about as many elements as all sets have are on disk for them at once.  Sets that are identical are one set throughout; the copies are rows of the
 membership alone.  Linked sets become classes by distributed connected components.
 """
 
